@@ -2,4 +2,9 @@
 
 from __future__ import annotations
 
+from inkframe.plans import queries_hierarchy, queries_references
+
 QUERIES, ORACLES = {}, {}
+for _m in (queries_hierarchy, queries_references):
+    QUERIES.update(_m.R.queries)
+    ORACLES.update(_m.R.oracles)
