@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from inkframe.llm import queries_groups
+from inkframe.llm import queries_groups, queries_residue, queries_splitting
 
 QUERIES, ORACLES = {}, {}
-for _m in (queries_groups,):
+for _m in (queries_groups, queries_residue, queries_splitting):
     QUERIES.update(_m.R.queries)
     ORACLES.update(_m.R.oracles)
