@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 #: punctuation and closing quotes.
 _SENTENCE_MARK = r"(?:[.!?]|\xE3\x80\x82|\xEF\xBC\x81|\xEF\xBC\x9F|\xE2\x80\xA6)"
 _CLOSER = r"(?:[\"')\]]|\xC2\xBB|\xE2\x80\x9D|\xE2\x80\x99|\xE3\x80\x8D|\xE3\x80\x8F|\xEF\xBC\x89)"
+# each starts with a look at the last byte only, which settles most places at once
 _BOUNDARIES = [
-    r"(?<=\n\n|\n\r\n)(?![\r\n])",
+    r"(?<=\n)(?<=\n\n|\n\r\n)(?![\r\n])",
     r"(?<=\n)(?!\n)",
-    rf"(?:(?<=\xE3\x80\x82|\xEF\xBC\x81|\xEF\xBC\x9F)(?!{_CLOSER})|(?<=(?:\xE3\x80\x82|\xEF\xBC\x81|\xEF\xBC\x9F){_CLOSER})(?!{_CLOSER})|(?<={_SENTENCE_MARK}[ \t]|{_SENTENCE_MARK}{_CLOSER}[ \t]|{_SENTENCE_MARK}{_CLOSER}{_CLOSER}[ \t]))(?![ \t])",
-    r"(?:(?<=[,;:][ \t])|(?<=\xEF\xBC\x8C|\xEF\xBC\x9B|\xEF\xBC\x9A|\xE3\x80\x81))(?![ \t])",
+    rf"(?:(?<=[\x81\x82\x9F])(?<=\xE3\x80\x82|\xEF\xBC\x81|\xEF\xBC\x9F)(?!{_CLOSER})|(?<=[\"')\]\xBB\x9D\x99\x8D\x8F\x89])(?<=(?:\xE3\x80\x82|\xEF\xBC\x81|\xEF\xBC\x9F){_CLOSER})(?!{_CLOSER})|(?<=[ \t])(?<=[.!?][ \t]|{_SENTENCE_MARK}[ \t]|{_SENTENCE_MARK}{_CLOSER}[ \t]|{_SENTENCE_MARK}{_CLOSER}{_CLOSER}[ \t]))(?![ \t])",
+    r"(?:(?<=[ \t])(?<=[,;:][ \t])|(?<=[\x8C\x9B\x9A\x81])(?<=\xEF\xBC\x8C|\xEF\xBC\x9B|\xEF\xBC\x9A|\xE3\x80\x81))(?![ \t])",
     r"(?<=[ \t])(?![ \t])",
 ]
 _WHOLE = r"(?![\x80-\xBF])"
@@ -60,31 +61,34 @@ def split_texts(df: DataFrame, text: str, limit: str, overlap: str) -> DataFrame
     first, more = lim * 3, (lim - ov) * 3
     # the first stretch may use the whole limit, the others leave room for the look back
     pattern = F.concat(F.lit(r"\A(?:"), _consume(first), F.lit(")|(?:"), _consume(more), F.lit(")"))
-    big = F.octet_length(F.col(text)) > lim * 3
-    df = df.withColumn("pieces", F.when(big, F.struct(raw.alias("raw"), F.regexp_extract_all(raw, pattern, F.lit(0)).alias("own"), (ov * 3).alias("back"))))
-    own, back, bytes_ = F.col("pieces.own"), F.col("pieces.back"), F.col("pieces.raw")
-    # where each own part starts
-    starts = F.aggregate(own, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x))))
+    own = F.regexp_extract_all(raw, pattern, F.lit(0))
+    back = ov * 3
+    none = F.array().cast("array<struct<piece_no:int,start_byte:int,own_byte:int,text:string>>")
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("out"))
 
-    def piece(part: Column, i: Column) -> Column:
-        at = F.element_at(F.col("_starts"), i + 1)
-        look = F.greatest(F.lit(0), at - back)
-        lead = bytes_.substr(look + 1, F.lit(4))
-        # do not start inside a character: step over its remaining bytes
-        skip = F.when(at > look, F.least(at - look, F.length(F.regexp_extract(lead, r"^([\x80-\xBF]{0,3})", 1)))).otherwise(0)
-        start = look + skip
+    def add(acc: Column, part: Column) -> Column:
+        # the tail holds the last bytes so far: what the piece shares with the one before, from the
+        # first whole character on
+        shared = F.regexp_replace(acc["tail"], r"^[\x80-\xBF]{1,3}", "")
+        piece = F.struct(
+            F.size(acc["out"]).alias("piece_no"),
+            (acc["at"] - F.length(shared)).alias("start_byte"),
+            acc["at"].alias("own_byte"),
+            F.decode(F.encode(F.concat(shared, part), "ISO-8859-1"), "UTF-8").alias("text"),
+        )
+        joined = F.concat(acc["tail"], part)
         return F.struct(
-            i.cast("int").alias("piece_no"),
-            start.cast("int").alias("start_byte"),
-            at.cast("int").alias("own_byte"),
-            F.decode(F.encode(F.concat(bytes_.substr(start + 1, at - start), part), "ISO-8859-1"), "UTF-8").alias("text"),
+            (acc["at"] + F.length(part)).alias("at"),
+            F.when(back > 0, joined.substr(F.greatest(F.lit(1), F.length(joined) - back + 1), back)).otherwise("").alias("tail"),
+            F.concat(acc["out"], F.array(piece)).alias("out"),
         )
 
-    df = df.withColumn("_starts", F.when(F.col("pieces").isNotNull(), starts))
+    # one fold over the stretches, so that the pattern runs once whatever the optimizer moves
+    cut = F.aggregate(own, zero, add, lambda acc: acc["out"])
     one = F.struct(F.lit(0).alias("piece_no"), F.lit(0).alias("start_byte"), F.lit(0).alias("own_byte"), F.col(text).alias("text"))
     return df.withColumn(
         "pieces",
         F.when(F.col(text).isNull() | F.col(limit).isNull(), F.lit(None))
-        .when(F.col("pieces").isNull(), F.array(one))
-        .otherwise(F.transform(own, piece)),
-    ).drop("_starts")
+        .when(F.octet_length(F.col(text)) > lim * 3, cut)
+        .otherwise(F.array(one)),
+    )
