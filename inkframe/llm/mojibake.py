@@ -253,11 +253,15 @@ def _sane(word: str) -> bool:
     return all(any(w.fullmatch(x) for w in _WORDS) for x in (p.strip(_EDGE) for p in _BREAK.split(word)) if x)
 
 
-def _parts(text: str, wide: bool) -> list[tuple[int, str]]:
-    """Where the words are, or the runs of foreign characters in them, and what they are."""
-    if not wide:
-        return [(m.start(), m.group()) for m in _TOKEN.finditer(text)]
-    return [(w.start() + m.start(), m.group()) for w in _TOKEN.finditer(text) for m in _RUN.finditer(w.group())]
+@lru_cache(None)
+def _stretch(codec: str) -> re.Pattern:
+    return re.compile("[" + "".join(map(re.escape, _back(codec))) + "]{2,}")
+
+
+def _parts(text: str, codec: str | None) -> list[tuple[int, str]]:
+    """Where the words are, or the stretches of an encoding's own characters, and what they are."""
+    found = _TOKEN.finditer(text) if codec is None else _stretch(codec).finditer(text)
+    return [(m.start(), m.group()) for m in found]
 
 
 def _reread(run: str, codec: str, true: str) -> str | None:
@@ -272,17 +276,18 @@ def _reread(run: str, codec: str, true: str) -> str | None:
 def _undo_legacy(text: str, r: Rarity, worst) -> str:
     """Text written in one legacy encoding and read as another: one pair of them for the whole text,
     chosen by the words that it makes sane; places that tell nothing alone follow it."""
-    told: dict[bool, list[tuple[int, str]]] = {}
-    for wide in (False, True):
-        told[wide] = [
-            (lo, run) for lo, run in _parts(text, wide)
-            if worst(run) > ASK and not _mixed(run) and (not _sane(run) or sum(c > "\x7f" for c in run) > 2) and any(c.isalpha() for c in run)
-        ]
+    told = [
+        (lo, run) for lo, run in _parts(text, None)
+        if worst(run) > ASK and not _mixed(run) and (not _sane(run) or sum(c > "\x7f" for c in run) > 2) and any(c.isalpha() for c in run)
+    ]
     best, chosen = TOTAL, None
     # read in an encoding of several bytes a character, legacy text loses its shape: only UTF-8 comes back
     for codec in READ_AS[:-3]:
         table = _back(codec)
-        seen = {wide: [(lo, run) for lo, run in told[wide] if all(c in table or c < "\x80" for c in run)] for wide in told}
+        seen = {
+            False: [(lo, run) for lo, run in told if all(c in table or c < "\x80" for c in run)],
+            True: [(lo, run) for lo, run in _parts(text, codec) if len(run) > 5],
+        }
         if not seen[False] and not seen[True]:
             continue
         for true in WRITTEN_IN:
@@ -305,7 +310,7 @@ def _undo_legacy(text: str, r: Rarity, worst) -> str:
     if chosen is None:
         return text
     out, at = [], 0
-    for lo, run in _parts(text, chosen[1] in _WIDE):
+    for lo, run in _parts(text, chosen[0] if chosen[1] in _WIDE else None):
         good = None if _mixed(run) else _reread(run, *chosen)
         if good is not None and _drop(r, text, lo, lo + len(run), good)[0] > 0:
             out += [text[at:lo], good]
