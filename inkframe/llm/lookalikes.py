@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 LATIN, CYRILLIC, GREEK = 0, 1, 2
 # Letters of one look, Latin, Cyrillic, Greek ("-": none).
 LOOKS = """
-aаα eе- oоο cсϲ pрρ xх- yу- iі- jјϳ sѕ- hһ- dԁ- qԛ- wԝ- vѵν lӏ-
-AАΑ BВΒ CСϹ EЕΕ HНΗ IІΙ JЈϿ KКΚ MМΜ N-Ν OОΟ PРΡ SЅ- TТΤ XХΧ YУΥ Z-Ζ QԚ- WԜ-
+aаα eе- oоο cс- pрρ xх- yу- iі- jјϳ sѕ- hһ- dԁ- qԛ- wԝ- vѵν lӏ-
+AАΑ BВΒ CС- EЕΕ HНΗ IІΙ JЈϿ KКΚ MМΜ N-Ν OОΟ PРΡ SЅ- TТΤ XХΧ YУΥ Z-Ζ QԚ- WԜ-
 """.split()
 # Further characters of the look of a Latin letter.
 ALSO = {"ɡ": "g", "օ": "o", "ո": "n", "ս": "u", "Ս": "U", "Օ": "O", "ⅼ": "l", "Ү": "Y", "ᴏ": "o", "ꓲ": "I"}
@@ -136,7 +136,7 @@ class Normalizer:
         if (k := self.kinds.get(look)) is None:
             named = set()
             for c in look:
-                if c.isalpha():
+                if c.isalpha() and c != "μ":  # the micro sign, in any script
                     row = self.members.get(c)
                     if row is None:
                         named.add(_script(c))
