@@ -59,42 +59,33 @@ def _rank_chains(low: DataFrame, scratch: Scratch) -> DataFrame:
         F.lit(False).alias("ring"),
     )
     walk = scratch.save(walk)
-    open_rows = walk.where("t is null").count()
-    while open_rows:
-        old = walk
-        for _ in range(2):
-            nxt = walk.select(
-                F.col("v").alias("jv"), F.col("w").alias("jw"), F.col("t").alias("jt"), F.col("pv").alias("jpv"),
-                F.col("pw").alias("jpw"), F.col("least").alias("jl"), F.col("ring").alias("jr"),
-            )
-            still = walk.where("t is null").join(nxt, (F.col("pv") == F.col("jv")) & (F.col("pw") == F.col("jw")))
-            least = F.least("least", "jl")
-            ring = (least == F.col("v")) | F.col("jr")
-            moved = still.select(
-                "v",
-                "w",
-                F.when(least == F.col("v"), F.col("v")).otherwise(F.col("jt")).alias("t"),
-                F.when(least != F.col("v"), F.col("jpv")).alias("pv"),
-                F.when(least != F.col("v"), F.col("jpw")).alias("pw"),
-                least.alias("least"),
-                ring.alias("ring"),
+    while True:
+        left = walk.agg(F.count_if(F.col("t").isNull()).alias("open"), F.count_if(F.expr("ring and t = v")).alias("rings")).first()
+        if left["rings"] and left["open"]:
+            # the rest of a ring whose least vertex has just come back to itself
+            old, seen = walk, walk.where("ring and t = v").select(F.col("v").alias("m")).distinct()
+            met = walk.join(seen, (F.col("least") == F.col("m")) & F.col("t").isNull(), "left")
+            walk = scratch.save(
+                met.select("v", "w", F.coalesce("t", "m").alias("t"), "pv", "pw", "least", (F.col("ring") | F.col("m").isNotNull()).alias("ring"))
             )
-            walk = walk.where("t is not null").unionByName(moved)
-        # the rest of a ring whose least vertex has just come back to itself
-        seen = walk.where("ring and t = v").select(F.col("v").alias("m")).distinct()
-        walk = walk.join(seen, (F.col("least") == F.col("m")) & F.col("t").isNull(), "left").select(
-            "v",
-            "w",
-            F.coalesce("t", "m").alias("t"),
-            F.when(F.col("m").isNull(), F.col("pv")).alias("pv"),
-            F.when(F.col("m").isNull(), F.col("pw")).alias("pw"),
-            "least",
-            (F.col("ring") | F.col("m").isNotNull()).alias("ring"),
+            scratch.drop(old)
+            left = walk.agg(F.count_if(F.col("t").isNull()).alias("open")).first()
+        if not left["open"]:
+            return walk
+        # every walk that has not ended goes on as far again as it has come
+        old = walk
+        nxt = walk.select(
+            F.col("v").alias("pv"), F.col("w").alias("pw"), F.col("t").alias("jt"), F.col("pv").alias("jpv"),
+            F.col("pw").alias("jpw"), F.col("least").alias("jl"), F.col("ring").alias("jr"),
+        )
+        still = walk.where("t is null").join(nxt, ["pv", "pw"]).withColumn("least", F.least("least", "jl"))
+        round_ = F.col("least") == F.col("v")
+        moved = still.select(
+            "v", "w", F.when(round_, F.col("v")).otherwise(F.col("jt")).alias("t"), F.col("jpv").alias("pv"), F.col("jpw").alias("pw"), "least",
+            (round_ | F.col("jr")).alias("ring"),
         )
-        walk = scratch.save(walk)
+        walk = scratch.save(walk.where("t is not null").unionByName(moved))
         scratch.drop(old)
-        open_rows = walk.where("t is null").count()
-    return walk
 
 
 def _strip(deg: DataFrame, edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -116,8 +107,8 @@ def _strip(deg: DataFrame, edges: DataFrame, scratch: Scratch) -> tuple[DataFram
         .when(F.col("d") == 1, F.least("v", "t1"))
         .otherwise(F.least("t1", "t2"))
     )
+    e = scratch.save(e)
     links = e.select("v", anchor.alias("p")).where("v <> p")
-    links = scratch.save(links)
     # one edge for each chain between two branching ends; edges between vertices that stay
     joined = e.where("d = 2 and not ring and b1 and b2 and t1 <> t2").select(F.col("t1").alias("a"), F.col("t2").alias("b"))
     gone = low.select(F.col("v").alias("g"))
