@@ -123,7 +123,7 @@ SELECT doc_id, shot_id, framing, seconds, f + (((5 - f) % 17) + 17) % 17 AS fram
 )
 def shot_frames(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "documents").where("source = 'shot_prompts' and startswith(text, '{\"shot_id\"')")
-    s = t.where(F.try_parse_json("text").isNotNull()).select("doc_id", F.from_json("text", "shot_id string, framing string, duration_seconds double").alias("j")).where("j.duration_seconds is not null")
+    s = t.where(hashing.canonicalize_json(F.col("text")).isNotNull()).select("doc_id", F.from_json("text", "shot_id string, framing string, duration_seconds double").alias("j")).where("j.duration_seconds is not null")
     return s.select("doc_id", "j.shot_id", "j.framing", F.col("j.duration_seconds").alias("seconds"), numeric.frames_for_seconds(F.col("j.duration_seconds")).alias("frames"))
 
 
