@@ -7,6 +7,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def canonical_json(*fields: tuple[str, Column]) -> Column:
@@ -14,7 +15,7 @@ def canonical_json(*fields: tuple[str, Column]) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in sorted(fields)]), {"ignoreNullFields": "false"})
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def canonicalize_json(s: pd.Series) -> pd.Series:
     """Any JSON text in canonical form; null where keys repeat, numbers are not finite or it is no JSON."""
 

@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words that number a chapter, and names of unnumbered ones.
 _NUMBER_WORDS = (
@@ -54,7 +55,7 @@ def estimate_tokens(c: Column) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.lit(1), F.ceil(F.octet_length(c) / 3))).cast("long")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else re.sub(r"\s+", " ", unicodedata.normalize("NFKC", t).casefold().strip()))
 

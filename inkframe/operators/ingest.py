@@ -9,17 +9,19 @@ from pyspark.sql.window import Window
 from inkframe.functions.text import heading_kind, normalize_newlines
 
 # Byte order marks in the order they are looked for, and what they name.
-MARKS = [("FFFE0000", 4, "UTF-32LE"), ("0000FEFF", 4, "UTF-32BE"), ("FFFE", 2, "UTF-16LE"), ("FEFF", 2, "UTF-16BE"), ("EFBBBF", 3, "UTF-8")]
+MARKS = [("FFFE0000", 0, "UTF-32"), ("0000FEFF", 0, "UTF-32"), ("FFFE", 2, "UTF-16LE"), ("FEFF", 2, "UTF-16BE"), ("EFBBBF", 3, "UTF-8")]
 
 
 def sniff(content: Column) -> tuple[Column, Column]:
-    """(encoding, text) of bytes by their byte order mark, else strict UTF-8; null text if they are not."""
+    """(encoding, text) of bytes by their byte order mark, else strict UTF-8, with a null text where they
+    are not; bytes that are not in the encoding that their mark names fail the read."""
     head, name, text = F.hex(F.substring(content, 1, 4)), None, None
     for mark, n, enc in MARKS:
-        hit, body = head.startswith(mark), F.decode(F.substring(content, n + 1, 2**31 - 1), enc)
+        hit, body = head.startswith(mark), F.substring(content, n + 1, 2**31 - 1)
+        body = F.try_validate_utf8(body.cast("string")) if enc == "UTF-8" else F.decode(body, enc)
         name = F.when(hit, enc) if name is None else name.when(hit, enc)
         text = F.when(hit, body) if text is None else text.when(hit, body)
-    return name.otherwise("UTF-8"), normalize_newlines(text.otherwise(F.when(F.is_valid_utf8(F.decode(content, "UTF-8")), F.try_validate_utf8(F.decode(content, "UTF-8")))))
+    return name.otherwise("UTF-8"), normalize_newlines(text.otherwise(F.try_validate_utf8(content.cast("string"))))
 
 
 def to_lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -38,7 +40,7 @@ def paragraphs(df: DataFrame, key: str, text: str) -> DataFrame:
     Everything runs in order inside one document, by an array fold: no document is shuffled by lines.
     """
     lines = df.select(key, F.split(normalize_newlines(F.col(text)), "\n", -1).alias("ls")).where("ls is not null")
-    tagged = lines.select(key, F.transform("ls", lambda x, i: F.struct(i.alias("i"), F.rtrim(x).alias("t"), heading_kind(x).alias("h"), (F.trim(x) == "").alias("b"))).alias("ls"))
+    tagged = lines.select(key, F.transform("ls", lambda x, i: F.struct(i.alias("i"), F.regexp_replace(x, r"\s+$", "").alias("t"), heading_kind(x).alias("h"), (~x.rlike(r"\S")).alias("b"))).alias("ls"))
     rows = tagged.select(key, F.explode("ls").alias("l")).select(key, "l.*")
     # one document's lines, in order: the window's partition is a document, never a corpus
     w = Window.partitionBy(key).orderBy("i")

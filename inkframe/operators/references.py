@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from inkframe.scratch import Scratch
 
@@ -35,7 +36,7 @@ def _bitmaps(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<struct<bit:int,sure:boolean>>")
+@F.pandas_udf(ArrayType(StructType().add("bit", IntegerType()).add("sure", BooleanType())))
 def _surviving(ref: pd.Series, whole: pd.Series, some: pd.Series) -> pd.Series:
     out = []
     zero = np.zeros(RANGE // 8, dtype=np.uint8)

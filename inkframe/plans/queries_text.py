@@ -38,7 +38,7 @@ def heading_lines(spark: SparkSession, d: str) -> DataFrame:
     "document_paragraphs",
     f"""WITH a AS (SELECT doc_id, string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM a),
-k AS (SELECT doc_id, i, rtrim(line) AS t, trim(line) = '' AS b, {_KIND} AS h FROM l),
+k AS (SELECT doc_id, i, regexp_replace(line, '\\s+$', '') AS t, NOT regexp_matches(line, '\\S') AS b, {_KIND} AS h FROM l),
 s AS (SELECT *, sum(CASE WHEN h IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS sec FROM k),
 m AS (SELECT *, bool_or(b) OVER (PARTITION BY doc_id, sec) AS split, sum(b::INT) OVER (PARTITION BY doc_id, sec ORDER BY i) AS blanks FROM s WHERE h IS NULL),
 p AS (SELECT doc_id, sec, CASE WHEN split THEN blanks ELSE i END AS g, min(i) AS i, string_agg(t, chr(10) ORDER BY i) AS text FROM m WHERE NOT b GROUP BY 1, 2, 3)
