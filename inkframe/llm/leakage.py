@@ -34,7 +34,9 @@ BLOCK = 2000
 class Rule:
     """For a kind of text: n-gram length, n-grams in a row of which one is a seed, n-grams that so many
     in a row of an item must share along a band, width of the bands as a power of two (they overlap by
-    half, which is more than so few edits shift), and least matched words of an alignment that counts."""
+    half, which is more than so few edits shift), least matched words of an alignment that counts, and
+    of one that counts if it holds an n-gram that is rare in the corpus: stock phrases in a row can
+    match by chance for nearly as long as a passage, but have none."""
 
     n: int
     window: int
@@ -42,15 +44,18 @@ class Rule:
     among: int
     band: int
     matched: int
+    matched_rare: int
 
 
 #: A passage of 30 words with 3 edits keeps a run of 7 words and 15 of its 27 4-grams.
-WORDS = Rule(n=4, window=4, share=15, among=27, band=3, matched=28)
+WORDS = Rule(n=4, window=4, share=15, among=27, band=3, matched=28, matched_rare=20)
 #: One of 60 characters (about 52 without punctuation) with 6 edits keeps a run of 7 and 18 5-grams.
-CHARS = Rule(n=5, window=3, share=18, among=48, band=4, matched=42)
+CHARS = Rule(n=5, window=3, share=18, among=48, band=4, matched=42, matched_rare=38)
 
 #: What an edit costs where a match is worth 1: stretches with over a quarter of edits lose.
 COST = 3
+#: An n-gram is rare in up to so many documents, or in up to this share of them.
+RARE_DOCS, RARE_SHARE = 10, 0.001
 #: Least share of an alignment's words in the document that match.
 CLOSE = 0.84
 
@@ -106,7 +111,8 @@ class Index:
             lists = [where[int(g)] for g in grams]
             ends = np.cumsum([0, *map(len, lists)])
             flat = np.array([x for li in lists for x in li], dtype=np.int64).reshape(-1, 2)
-            self.by_rule[rule] = [grams, ends, flat, np.zeros(len(grams), dtype=bool)]
+            # n-grams, where each one's places begin, places (item, position); seeds and rare ones
+            self.by_rule[rule] = [grams, ends, flat, np.zeros(len(grams), dtype=bool), np.zeros(len(grams), dtype=bool)]
 
     def ids(self, text: str | None) -> np.ndarray:
         get = self.vocab.get
@@ -124,11 +130,13 @@ class Index:
         same = grams[at] == g
         return pos[same], at[same]
 
-    def choose_seeds(self, counts: dict[tuple[int, int], int]) -> None:
-        """Of each `window` n-grams in a row the rarest; the earliest of equally rare ones."""
+    def choose_seeds(self, counts: dict[tuple[int, int], int], docs: int) -> None:
+        """Of each `window` n-grams in a row the rarest; the earliest of equally rare ones. `docs` is
+        the number of documents of the corpus."""
         for r, rule in enumerate((WORDS, CHARS)):
-            grams, _, _, seed = self.by_rule[rule]
+            grams, _, _, seed, rare = self.by_rule[rule]
             df = np.array([counts.get((r, k), 0) for k in range(len(grams))], dtype=np.int64)
+            rare[:] = df <= max(RARE_DOCS, RARE_SHARE * docs)
             for i, ids in enumerate(self.items):
                 if self.rules[i] is rule:
                     at = np.searchsorted(grams, _grams(ids, rule.n))
@@ -140,7 +148,7 @@ class Index:
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, matched words, first word, length in words in the document) of what has leaked."""
         ids, out = self.ids(text), []
-        for rule, (_, ends, flat, seed) in self.by_rule.items():
+        for rule, (_, ends, flat, seed, rare) in self.by_rule.items():
             pos, at = self.hits(ids, rule)
             if len(pos) < rule.share:
                 continue
@@ -155,7 +163,7 @@ class Index:
             dpos = np.repeat(pos, n)
             item, ipos = flat[rows, 0], flat[rows, 1]
             keep = wanted[item]
-            dpos, item, ipos = dpos[keep], item[keep], ipos[keep]
+            dpos, item, ipos, told = dpos[keep], item[keep], ipos[keep], np.repeat(rare[at], n)[keep]
             diag = dpos - ipos + 4096
             done = set()
             for shift in (0, 1 << (rule.band - 1)):
@@ -173,16 +181,22 @@ class Index:
                     near = dpos[(item == i) & (band == b)]
                     lo, hi = max(0, int(near.min()) - 40), int(near.max()) + rule.n + 40
                     matched, start, length = smith_waterman(self.items[i], ids[lo:hi])
-                    if matched >= max(rule.matched, CLOSE * length):
+                    if matched < rule.matched_rare and 3 * matched > 2 * rule.matched_rare:
+                        # edits close together may have cut a passage short: look on at a lower cost
+                        matched, start, length = smith_waterman(self.items[i], ids[lo:hi], COST - 1)
+                    if matched < CLOSE * length or matched < rule.matched_rare:
+                        continue
+                    inside = (item == i) & (dpos >= lo + start) & (dpos <= lo + start + length - rule.n)
+                    if matched >= rule.matched or told[inside].any():
                         done.add(i)
                         out.append((i, matched, lo + start, length))
         return out
 
 
-def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+def smith_waterman(a: np.ndarray, b: np.ndarray, cost: int = COST) -> tuple[int, int, int]:
     """(matched, start in b, length in b) of the best local alignment of two word sequences.
 
-    A match is worth 1; a word replaced, dropped or added costs `COST`. Rows are computed as wholes; the
+    A match is worth 1; a word replaced, dropped or added costs `cost`. Rows are computed as wholes; the
     running maximum resolves gaps within a row. Words unknown to the items (0) match nothing. Every
     cell carries how many matches its alignment has and where in b it starts.
     """
@@ -194,19 +208,19 @@ def smith_waterman(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     top = (0, 0, 0, 0)
     for x in a:
         same = np.concatenate([[False], b == x])
-        diag = np.concatenate([[0], score[:-1]]) + np.where(same, 1, -COST)
-        up = score - COST
+        diag = np.concatenate([[0], score[:-1]]) + np.where(same, 1, -cost)
+        up = score - cost
         from_diag = diag >= up
         s = np.where(from_diag, diag, up)
         h = np.where(from_diag, np.concatenate([[0], hits[:-1]]) + same, hits)
         st = np.where(from_diag, np.concatenate([[0], start[:-1]]), start)
         zero = s <= 0
         s, h, st = np.where(zero, 0, s), np.where(zero, 0, h), np.where(zero, cols, st)
-        # gaps in a: from the best cell to the left, at `COST` for each step
-        lead = s + COST * cols
+        # gaps in a: from the best cell to the left, at `cost` for each step
+        lead = s + cost * cols
         best = np.maximum.accumulate(lead)
         src = np.maximum.accumulate(np.where(lead == best, cols, 0))
-        gap = best - COST * cols
+        gap = best - cost * cols
         use = (gap > s) & (gap > 0)
         score, hits, start = np.where(use, gap, s), np.where(use, h[src], h), np.where(use, st[src], st)
         k = int(score.argmax())
@@ -235,21 +249,24 @@ def find_leaks(spark: SparkSession, docs: DataFrame, doc_key: str, text: str, it
 
         def tally(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ix = shared.value
-            sums = [np.zeros(len(ix.by_rule[r][0]), np.int64) for r in (WORDS, CHARS)]
+            sums, docs = [np.zeros(len(ix.by_rule[r][0]), np.int64) for r in (WORDS, CHARS)], 0
             for b in batches:
+                docs += b.num_rows
                 for t in b.column(0).to_pylist():
                     ids = ix.ids(t)
                     for k, rule in enumerate((WORDS, CHARS)):
                         _, at = ix.hits(ids, rule)
                         if len(at):
                             sums[k][np.unique(at)] += 1
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([docs], pa.int64())], ["rule", "gram", "docs"])
             for k, s in enumerate(sums):
                 nz = np.flatnonzero(s)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nz), k, np.int32)), pa.array(nz.astype(np.int32)), pa.array(s[nz])], ["rule", "gram", "docs"])
 
         # one row for each n-gram of the block at most
         counted = docs.select(text).mapInArrow(tally, "rule int, gram int, docs bigint").groupBy("rule", "gram").agg(F.sum("docs").alias("docs"))
-        index.choose_seeds({(r.rule, r.gram): r.docs for r in counted.collect()})
+        found = {(r.rule, r.gram): r.docs for r in counted.collect()}
+        index.choose_seeds(found, found.pop((-1, -1), 0))
         seeded = sc.broadcast(index)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=seeded) -> Iterator[pa.RecordBatch]:

@@ -149,42 +149,57 @@ class Normalizer:
         """Likeliest members for a look; `lean` is the script of the words around."""
         if (got := self.memo.get((look, lean))) is not None:
             return got
-        # state: script; value: (bits, letters so far)
-        best: dict[int, tuple[float, str, str]] = {}
+        options = []
         for c in look:
-            if not c.isalpha():
-                if best:
-                    best = {s: (b, w + c, last) for s, (b, w, last) in best.items()}
-                else:
-                    best = {lean: (0.0, c, "")}
-                continue
             row = self.members.get(c)
-            options = {s: x for s, x in enumerate(row) if x != "-"} if row else {_script(c): c}
-            nxt: dict[int, tuple[float, str, str]] = {}
-            for s, x in options.items():
-                if not best:
-                    nxt[s] = (0.0 if s == lean else 1.0, x, x)
-                    continue
-                cands = []
-                for p, (b, w, last) in best.items():
-                    if not last:
-                        cost = 0.0 if s == lean else 1.0
-                    elif p != s:
-                        cost = SWITCH
-                    else:
-                        cost = self.bits.get(ord(last) * _SIZE + ord(x), UNSEEN) if max(ord(last), ord(x)) < _SIZE else UNSEEN
-                    cands.append((b + cost, w + x, x))
-                nxt[s] = min(cands)
-            best = nxt
-        # words that fit more than one script whole follow their neighbours; a tie falls to the first script
-        whole = {s: v for s, v in best.items() if all(not c.isalpha() or _script(c) == s for c in v[1])}
-        pick = whole.get(lean) or (min(whole.items(), key=lambda kv: (kv[1][0], kv[0]))[1] if whole else min(best.items(), key=lambda kv: (kv[1][0], kv[0]))[1])
-        out = unicodedata.normalize("NFC", pick[1])
+            options.append(None if not c.isalpha() else {s: x for s, x in enumerate(row) if x != "-"} if row else {_script(c): c})
+        # readings in one script throughout: that of the words around, else the likeliest
+        whole = [s for s in (lean, LATIN, CYRILLIC, GREEK) if all(o is None or s in o for o in options)]
+        if whole:
+            s = whole[0] if whole[0] == lean else min(whole, key=lambda s: (self._bits_of([o[s] for o in options if o]), s))
+            got = "".join(c if o is None else o[s] for c, o in zip(look, options))
+        else:
+            got = self._mixed(look, options, lean)
+        out = unicodedata.normalize("NFC", got)
         if len(self.memo) > 300_000:
             self.memo.clear()
         self.memo[(look, lean)] = out
         return out
 
+    def _bits_of(self, letters: list[str]) -> float:
+        return sum(self._pair(a, b) for a, b in zip(letters, letters[1:]))
+
+    def _pair(self, a: str, b: str) -> float:
+        return self.bits.get(ord(a) * _SIZE + ord(b), UNSEEN) if max(ord(a), ord(b)) < _SIZE else UNSEEN
+
+    def _mixed(self, look: str, options: list, lean: int) -> str:
+        """The best path through a lattice that no script crosses alone."""
+        best: dict[int, float] = {}
+        steps: list[dict[int, int]] = []
+        last: dict[int, str] = {}
+        for o in options:
+            if o is None:
+                steps.append({})
+                continue
+            if not best:
+                best, back = {s: 0.0 if s == lean else 1.0 for s in o}, {s: s for s in o}
+            else:
+                new, back = {}, {}
+                for s, x in o.items():
+                    new[s], back[s] = min((v + (self._pair(last[p], x) if p == s else SWITCH), p) for p, v in best.items())
+                best = new
+            last = o
+            steps.append(back)
+        s = min(best, key=lambda s: (best[s], s))
+        out = []
+        for c, o, back in zip(reversed(look), reversed(options), reversed(steps)):
+            if o is None:
+                out.append(c)
+            else:
+                out.append(o[s])
+                s = back[s]
+        return "".join(reversed(out))
+
     def form(self, text: str | None) -> str | None:
         if text is None or _CLEAN.fullmatch(text):
             return text

@@ -31,13 +31,16 @@ _WHOLE = r"(?![\x80-\xBF])"
 
 
 def _consume(limit: Column) -> Column:
-    """The pattern's alternatives for up to `limit` bytes: the better half first, then any place."""
+    """The pattern's alternatives for up to `limit` bytes: ends of blank lines, lines and sentences in
+    the better half, then anywhere; clauses and spaces likewise; any whole character."""
     half = F.greatest(F.lit(1), F.floor(limit / 2))
-    some = [F.concat(F.lit(r"[\x00-\xFF]{"), half.cast("string"), F.lit(","), limit.cast("string"), F.lit("}" + b)) for b in _BOUNDARIES]
-    rest = F.concat(F.lit(r"[\x00-\xFF]{1,"), limit.cast("string"), F.lit("}" + r"\z"))
-    late = [F.concat(F.lit(r"[\x00-\xFF]{1,"), limit.cast("string"), F.lit("}" + b)) for b in _BOUNDARIES[:3]]
-    last = F.concat(F.lit(r"[\x00-\xFF]{1,"), limit.cast("string"), F.lit("}" + _WHOLE))
-    return F.concat_ws("|", rest, *some, *late, last)
+
+    def upto(least: Column, end: str) -> Column:
+        return F.concat(F.lit(r"[\x00-\xFF]{"), least.cast("string"), F.lit(","), limit.cast("string"), F.lit("}" + end))
+
+    strong, weak, one = _BOUNDARIES[:3], _BOUNDARIES[3:], F.lit(1)
+    steps = [upto(one, r"\z"), *(upto(half, b) for b in strong), *(upto(one, b) for b in strong), *(upto(half, b) for b in weak), *(upto(one, b) for b in weak), upto(one, _WHOLE)]
+    return F.concat_ws("|", *steps)
 
 
 def estimated_tokens(text: Column) -> Column:
