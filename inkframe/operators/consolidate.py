@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from inkframe.operators.ranking import rank_within
+from inkframe.scratch import Scratch
+
 
 def ordered_union(order: Column, items: Column) -> Column:
     """Distinct elements of arrays over rows, in the order in which they first come (an aggregate)."""
@@ -18,9 +21,11 @@ def settled_mode(c: str, unknown: str = "unknown") -> Column:
     return F.when(F.countDistinct(known) == 1, F.min(known)).otherwise(unknown)
 
 
-def number_within(scope: list[str], order: list[str], prefix: Column, width: int = 4) -> Column:
-    """Dense ids like char_0001 in order inside a scope."""
-    return F.concat(prefix, F.lit("_"), F.lpad(F.row_number().over(Window.partitionBy(*scope).orderBy(*order)).cast("string"), width, "0"))
+def number_within(df: DataFrame, scope: list[str], order: list[str], prefix: Column, scratch: Scratch, width: int = 4) -> DataFrame:
+    """`df` with `entity_id`: dense ids like char_0001 in order inside a scope, of any size."""
+    ranked = rank_within(df, scope, order, scratch, "_rank")
+    no = (F.col("_rank") + 1).cast("string")
+    return ranked.withColumn("entity_id", F.concat(prefix, F.lit("_"), F.lpad(no, width, "0"))).drop("_rank")
 
 
 def state_runs(df: DataFrame, scope: list[str], order: list[str], state: str) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from inkframe.operators.ranking import rank_within
+from inkframe.scratch import Scratch
 
-def plan_windows(df: DataFrame, scope: str, order: list[str], owned: int, context: int) -> DataFrame:
+
+def plan_windows(df: DataFrame, scope: str, order: list[str], owned: int, context: int, scratch: Scratch) -> DataFrame:
     """`df` with place (from 0), window_no and role, one row for each window that holds the row: as
     owned in exactly one, as context in those whose owned rows lie within `context` places.
 
@@ -15,8 +17,8 @@ def plan_windows(df: DataFrame, scope: str, order: list[str], owned: int, contex
     """
     if owned < 1 or context < 0:
         raise ValueError("owned must be at least 1 and context at least 0")
-    p = df.where(F.col(scope).isNotNull()).withColumn("place", F.row_number().over(Window.partitionBy(scope).orderBy(*order)) - 1)
-    p = p.withColumn("_last", F.max("place").over(Window.partitionBy(scope)))
+    p = scratch.save(rank_within(df.where(F.col(scope).isNotNull()), [scope], order, scratch))
+    p = p.join(p.groupBy(scope).agg(F.max("place").alias("_last")), scope)
     # the windows that reach this row: an arithmetic band, no join
     lo = F.greatest(F.lit(0), F.floor((F.col("place") - F.lit(context)) / owned)).cast("int")
     hi = F.least(F.floor(F.col("_last") / owned), F.floor((F.col("place") + F.lit(context)) / owned)).cast("int")

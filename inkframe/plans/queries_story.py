@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from inkframe.functions.text import is_strong_key
 from inkframe.operators import blocking, checks, consolidate, graph
 from inkframe.operators.chunking import pack_pairs
+from inkframe.operators.ranking import rank_within
 from inkframe.operators.windows import plan_windows
 from inkframe.plans.registry import Registry
 from inkframe.scratch import Scratch, table
@@ -108,7 +109,8 @@ SELECT document_id, kind, CASE kind WHEN 'character' THEN 'char_' ELSE 'loc_' EN
 def canonical_entities(spark: SparkSession, d: str) -> DataFrame:
     c = blocking.key_classes(_keyed(spark, d)).where("kind in ('character', 'location')").withColumnRenamed("class_ref", "first_ref")
     prefix = F.when(F.col("kind") == "character", "char").otherwise("loc")
-    return c.select("document_id", "kind", consolidate.number_within(["document_id", "kind"], ["first_ref"], prefix, 6).alias("entity_id"), "first_ref", "members")
+    c = c.select("document_id", "kind", "first_ref", "members")
+    return consolidate.number_within(c, ["document_id", "kind"], ["first_ref"], prefix, Scratch(spark, "entities"), 6)
 
 
 _EVENTS = """ev AS (SELECT DISTINCT ON (document_id, candidate_ref) * FROM event_candidates WHERE document_id IS NOT NULL AND candidate_ref IS NOT NULL ORDER BY document_id, candidate_ref, ingested_at),
@@ -137,11 +139,13 @@ def signal_combinations(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query("pair_packing")
 def pair_packing(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs that need a decision, packed greedily per document; (document_id, block_no, pairs, ends)."""
+    """Pairs that need a decision, packed greedily per chapter of their left end, which bounds the fold;
+    (document_id, chapter, block_no, pairs, ends)."""
     p = blocking.class_pairs(blocking.key_classes(_keyed(spark, d))).where("state = 'needs_decision'")
-    b = pack_pairs(p, ["document_id"], [], "left_ref", "right_ref")
+    p = p.withColumn("chapter", F.regexp_extract("left_ref", "^([^_:]*)", 1))
+    b = pack_pairs(p, ["document_id", "chapter"], [], "left_ref", "right_ref")
     ends = F.size(F.array_distinct(F.concat(F.collect_list("left_ref"), F.collect_list("right_ref"))))
-    return b.groupBy("document_id", "block_no").agg(F.count("*").alias("pairs"), ends.alias("ends"))
+    return b.groupBy("document_id", "chapter", "block_no").agg(F.count("*").alias("pairs"), ends.alias("ends"))
 
 
 @R.query(
@@ -201,7 +205,8 @@ def canonical_events(spark: SparkSession, d: str) -> DataFrame:
     g = e.groupBy("document_id", F.regexp_replace(F.trim("summary_zh"), r"\s+", " ").alias("summary")).agg(
         F.min("order_key").alias("first_order"), F.count("*").alias("candidates"), consolidate.settled_mode("temporal_mode").alias("temporal_mode")
     )
-    return g.withColumn("narrative_order", F.row_number().over(Window.partitionBy("document_id").orderBy("first_order", "summary")))
+    ranked = rank_within(g, ["document_id"], ["first_order", "summary"], Scratch(spark, "events"), "narrative_order")
+    return ranked.withColumn("narrative_order", (F.col("narrative_order") + 1).cast("int"))
 
 
 @R.query(
@@ -233,7 +238,7 @@ pw AS (SELECT p.document_id, w.window_no::INT AS window_no, p.event_key, p.place
 
 @R.query("plot_windows", f"WITH {_WINDOWS} SELECT document_id, window_no, event_key, place::INT AS place, role FROM pw")
 def plot_windows(spark: SparkSession, d: str) -> DataFrame:
-    return plan_windows(_stream(spark, d), "document_id", ["order_key", "event_key"], 12, 4).select("document_id", "window_no", "event_key", "place", "role")
+    return plan_windows(_stream(spark, d), "document_id", ["order_key", "event_key"], 12, 4, Scratch(spark, "windows")).select("document_id", "window_no", "event_key", "place", "role")
 
 
 @R.query(
@@ -243,7 +248,7 @@ SELECT pw.document_id, window_no, e AS entity_ref, count(*) AS events FROM pw JO
 )
 def window_entities(spark: SparkSession, d: str) -> DataFrame:
     """Entities of the owned and context events of every window."""
-    w = plan_windows(_stream(spark, d), "document_id", ["order_key", "event_key"], 12, 4)
+    w = plan_windows(_stream(spark, d), "document_id", ["order_key", "event_key"], 12, 4, Scratch(spark, "windows"))
     none = F.array().cast("array<string>")
     refs = F.array_distinct(F.concat(F.coalesce("participant_refs", none), F.coalesce("location_refs", none)))
     return w.select("document_id", "window_no", F.explode(refs).alias("entity_ref")).where("entity_ref is not null").groupBy("document_id", "window_no", "entity_ref").agg(F.count("*").alias("events"))

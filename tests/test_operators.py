@@ -120,7 +120,7 @@ def test_packing_respects_both_limits(spark):
 @pytest.mark.parametrize("n", [0, 1, 12, 13, 166])
 def test_windows_own_each_row_once(spark, n):
     df = spark.range(n).select(F.lit("d").alias("d"), F.col("id").alias("k"))
-    rows = plan_windows(df, "d", ["k"], 12, 4).collect()
+    rows = plan_windows(df, "d", ["k"], 12, 4, Scratch(spark, "test")).collect()
     assert sorted(r.k for r in rows if r.role == "owned") == list(range(n))
     for w in range(-(-n // 12)):
         have = sorted(r.k for r in rows if r.window_no == w)
@@ -205,3 +205,16 @@ def test_checks(spark):
         checks.require_empty(df, "rows")
     c = checks.coverage(df, spark.createDataFrame([("a",), ("b",), ("z",)], "x string"), ["x"]).first()
     assert (c.owned_once, c.unowned, c.owned_often) == (1, 1, 1)
+
+
+def test_ranks_over_many_partitions(spark):
+    """A third of the rows are in one scope; null is a scope of its own."""
+    from inkframe.operators.ranking import rank_within
+
+    df = spark.range(600).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise((F.col("id") % 7).cast("string")).alias("s"), (F.col("id") * 37 % 601).alias("k")).repartition(9)
+    got = {}
+    for r in rank_within(df, ["s"], ["k"], Scratch(spark, "test")).collect():
+        got.setdefault(r.s, []).append((r.place, r.k))
+    for rows in got.values():
+        assert [p for p, _ in sorted(rows)] == list(range(len(rows))) and [k for _, k in sorted(rows)] == sorted(k for _, k in rows)
+    assert sum(map(len, got.values())) == 600
