@@ -53,17 +53,18 @@ def _surviving(ref: pd.Series, whole: pd.Series, some: pd.Series) -> pd.Series:
 def orphan_references(refs: DataFrame, parents: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows of `refs` for which no parent was valid at their time.
 
-    refs: scope, ref, at, and any other columns not named `range`, `month` or starting with `_`;
-    rows with a null `ref` are no references and are left out. parents: scope, ref, valid_from,
-    valid_to (null: for ever; the end is exclusive). A parent is valid from `valid_from` on while
+    refs: scope, ref, at, and any other columns, which pass through whatever their names; rows with a
+    null `ref` are no references and are left out. parents: scope, ref, valid_from, valid_to (null: for ever; the end is exclusive), others are ignored. A parent is valid from `valid_from` on while
     `valid_to` is null or later. A null scope has no parents, and a reference without a time (`at`
     is null) none that was valid then: both are orphans. A parent without `valid_from` is never
     valid. Repeated rows of `refs` stay repeated. Empty tables: no parents makes every reference an
     orphan, no references gives no rows.
     """
     refs = refs.where("ref is not null")
-    whole = refs.where("scope is not null and at is not null")
-    lost = refs.where("scope is null or at is null")
+    # the rows travel as one column, so that none of theirs can clash with those made here
+    rows = refs.select("scope", "ref", "at", F.struct(*[F.col(f"`{c}`") for c in refs.columns]).alias("_row"))
+    whole = rows.where("scope is not null and at is not null")
+    lost = rows.where("scope is null or at is null").select("_row.*")
     keys = scratch.save(whole.select("scope", "ref").distinct().orderBy("scope", "ref").withColumn("_id", F.monotonically_increasing_id()))
     # ids are dense inside a partition of the sort; the bits above tell the partitions apart
     r = scratch.save(whole.join(keys, ["scope", "ref"]).withColumn("_month", month_of(F.col("at"))))
@@ -106,4 +107,4 @@ def orphan_references(refs: DataFrame, parents: DataFrame, scratch: Scratch) ->
         (F.col("_id") == F.col("p_id")) & (F.col("valid_from") <= F.col("at")) & (F.col("valid_to").isNull() | (F.col("valid_to") > F.col("at"))),
         "left_anti",
     )
-    return found.where("_sure").unionByName(asked).select(*refs.columns).unionByName(lost)
+    return found.where("_sure").unionByName(asked).select("_row.*").unionByName(lost)

@@ -56,3 +56,12 @@ def test_hot_key(spark):
     refs = spark.range(3000).select(F.lit("d").alias("scope"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("ref"), F.lit(t).cast("timestamp_ntz").alias("at"), F.col("id").cast("int").alias("id"))
     parents = spark.createDataFrame([("d", "hot", t, None)], PARENTS)
     assert orphan_references(refs, parents, Scratch(spark, "test")).count() == 2000
+
+
+def test_clashing_columns_pass_through(spark):
+    t = datetime(2025, 1, 1)
+    names = ["_id", "_month", "_sure", "month", "range", "valid_from", "valid_to", "p_id", "_row", "bit"]
+    refs = spark.createDataFrame([("d", "a", t), ("d", "b", t)], "scope string, ref string, at timestamp_ntz").select("*", *[F.lit(7).alias(n) for n in names])
+    parents = spark.createDataFrame([("d", "a", t, None, 1)], PARENTS + ", _id int")
+    got = orphan_references(refs, parents, Scratch(spark, "test")).collect()
+    assert [(r.ref, *[r[n] for n in names]) for r in got] == [("b", *[7] * len(names))]
