@@ -111,7 +111,7 @@ def mix(spark: SparkSession, docs: DataFrame, key: str, text: str, source: str,
     goal = targets.where("source is not null").groupBy("source").agg(
         F.max(F.coalesce("target_weight", F.lit(0.0))).alias("target_weight"), F.max(F.coalesce("max_repeats", F.lit(0))).alias("max_repeats")
     )
-    sized = count_tokens(docs.where(F.col(source).isNotNull()).withColumnRenamed(source, "source"), text, [key, "source"])
+    sized = count_tokens(docs.where(F.col(source).isNotNull()).select(key, text, F.col(source).alias("source")), text, [key, "source"])
     # hash order within a source; buckets of that order keep running sums apart from single sorts
     sized = scratch.save(sized.where("tokens > 0").withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))))
     stock = goal.join(sized.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")), "source", "left").toPandas()
