@@ -138,7 +138,9 @@ def _encode(text: str, codec: str) -> bytes | None:
     return bytes(out)
 
 
-_UTF8 = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|\xe0[\xa0-\xbf][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})+")
+_MULTI = rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe1-\xef][\x80-\xbf]{2}|\xe0[\xa0-\xbf][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})"
+# in encodings of several bytes a character, an ASCII letter may have become its last byte
+_UTF8 = re.compile(_MULTI + rb"(?:" + _MULTI + rb"|[\x40-\x7e])*")
 
 
 @lru_cache(None)
