@@ -71,17 +71,20 @@ class Rarity:
         self.counts = counts
         self.pairs = math.log2(1 + sum(n for k, n in counts.items() if k >= 1 << 21))
         self.hans = math.log2(1 + sum(n for k, n in counts.items() if k < 1 << 21))
-        self.memo: dict[int, float] = {}
+        self.memo: dict[tuple[int, int], float] = {}
 
     def bits(self, a: int, b: int) -> float:
         ha, hb = 0x3400 <= a <= 0x9FFF or 0xF900 <= a <= 0xFAFF, 0x3400 <= b <= 0x9FFF or 0xF900 <= b <= 0xFAFF
         key = b if ha and hb else ((_HAN if ha else a) << 21) | (_HAN if hb else b)
-        if (x := self.memo.get(key)) is None:
+        if (x := self.memo.get((a, b))) is None:
             n = self.counts.get(key, 0)
-            x = self.memo[key] = (self.hans if ha and hb else self.pairs) - math.log2(n + 0.25)
-        # the ideograph itself counts too where it meets another script
-        if hb and not ha and (n := self.counts.get(b, 0)) < 3:
-            x += 4 - n
+            x = (self.hans if ha and hb else self.pairs) - math.log2(n + 0.25)
+            if ha != hb:
+                # where scripts meet, the ideograph counts too: a rare one does not belong there
+                x = max(x, self.hans - math.log2(self.counts.get(a if ha else b, 0) + 0.25))
+            if len(self.memo) > 500_000:
+                self.memo.clear()
+            self.memo[(a, b)] = x
         return x
 
     def cost(self, text: str) -> tuple[float, int]:
