@@ -9,7 +9,8 @@ neighbouring characters over the whole corpus. Garbled pairs are rare and what t
 common; unusual but right characters either do not round-trip or become rarer.
 
 Texts with a replacement character (U+FFFD) or C1 control characters hold a wrongly decoded sequence
-whatever can be made of it.
+whatever can be made of it; so do texts with what became of these when they were written as UTF-8 and
+read as something else.
 """
 
 from __future__ import annotations
@@ -242,6 +243,64 @@ def _undo_utf8(text: str, r: Rarity) -> str:
 
 
 _WIDE = ("gb18030", "big5", "cp932")
+# where U+FFFD, read as one of these, may stand: it has one of these characters in every alignment
+_WIDE_LOST = re.compile("[锟拷嚙踝蕭]")
+# one layer of C1 controls: letters that may stand before such signs in right text need a look around
+_DOUBT = {"cp1252", "cp1250", "cp1251"}
+
+
+@lru_cache(1)
+def _losses():
+    """Automaton of what U+FFFD and C1 controls become in up to `LAYERS` rounds of UTF-8 read as a
+    single-byte encoding; the value is (length, whether it counts only by its neighbours)."""
+    import ahocorasick
+
+    def read(t: str, codec: str) -> str:
+        back = {b[0]: ch for ch, b in _back(codec).items()}
+        return "".join(back.get(b, "�") if b > 127 else chr(b) for b in t.encode())
+
+    a, sure, front = ahocorasick.Automaton(), set(), {"�", *map(chr, range(0x80, 0xA0))} - {"\x85"}
+    doubt: set[str] = set()
+    single = [c for c in READ_AS if c not in _WIDE]
+    for layer in range(LAYERS):
+        nxt = set()
+        for t in front:
+            for codec in single:
+                if layer and t in doubt and codec == "koi8-r":
+                    continue
+                x = read(t, codec)
+                nxt.add(x)
+                if not layer and t != "�" and (codec in _DOUBT or codec == "koi8-r"):
+                    doubt.add(x)
+                else:
+                    sure.add(x)
+        # beyond the first round only the replacement character: the rest is what the cost can tell
+        front = nxt if not layer else {x for x in nxt if len(x) > 6}
+        if layer == 0:
+            front -= {x for x in doubt if x[0] == "б"}
+    for x in doubt - sure:
+        if x[0] != "б":  # KOI8-R: a letter before a line of a table
+            a.add_word(x, (len(x), True))
+    for x in sure:
+        a.add_word(x, (len(x), False))
+    a.make_automaton()
+    return a
+
+
+def _lost(text: str) -> bool:
+    """Whether a stretch stands for U+FFFD or a C1 control, which nothing can be made of."""
+    for end, (n, doubt) in _losses().iter(text):
+        if not doubt:
+            return True
+        before, after = text[end - n : end - n + 1] if end >= n else " ", text[end + 1 : end + 2]
+        # a capital after a small letter, or a sign of the end of words right before one
+        if before.islower() or (text[end - n + 1] == "Â" and before.isspace() and after.isalpha()):
+            return True
+    if _WIDE_LOST.search(text):
+        return any("�" in good for codec in _WIDE for _, _, good in _utf8_runs(text, codec))
+    return False
+
+
 _RUN = re.compile(r"[^\x00-\x7f]+(?:[a-zA-Z]*[^\x00-\x7f]+)*")
 _HANS = re.compile(r"[\u3400-\u9fff]")
 # what a word may look like: letters of one script, apostrophes and hyphens between them, quotes around
@@ -381,7 +440,7 @@ class Repair:
         out = _TOKEN.sub(one, text)
         if odd and any(self.worst(m.group()) > ASK for m in _TOKEN.finditer(out)):
             out = _undo_legacy(out, self.rarity, self.worst)
-        return out != text or _SURE.search(text) is not None, out
+        return out != text or _SURE.search(text) is not None or _lost(text), out
 
 
 def corpus_counts(texts: DataFrame, text: str) -> DataFrame:

@@ -63,3 +63,19 @@ def test_lost_bytes_and_null(result):
 
 def test_empty_table(spark):
     assert repair_texts(spark, spark.createDataFrame([], "id int, t string"), "id", "t").count() == 0
+
+
+@pytest.mark.parametrize("text", ["他说锟斤拷，走了。", "Der ï¿½ war da.", "Он пїЅ ушёл.", "嚙踝蕭", "Ã¯Â¿Â½", "Â“HelloÂ”"])
+def test_lost_bytes_written_again_are_found_whatever_is_common(text):
+    """A corpus full of them makes their pairs cheap; they are no less lost."""
+    from inkframe.llm.mojibake import Rarity, Repair, count_pairs
+
+    codes, n = count_pairs([*PLAIN, text] * 500)
+    assert Repair(Rarity(dict(zip(codes.tolist(), n.tolist())))).text(text)[0]
+
+
+@pytest.mark.parametrize("text", ["«План В»", "В… и С—", "groß“ é »", "ROMÂ”", "他拷问了敌人", *PLAIN])
+def test_right_signs_after_capitals_are_not_lost(text):
+    from inkframe.llm.mojibake import _lost
+
+    assert not _lost(text)
