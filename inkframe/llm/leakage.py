@@ -36,7 +36,8 @@ class Rule:
     in a row of an item must share along a band, width of the bands as a power of two (they overlap by
     half, which is more than so few edits shift), least matched words of an alignment that counts, and
     of one that counts if it holds an n-gram that is rare in the corpus: stock phrases in a row can
-    match by chance for nearly as long as a passage, but have none."""
+    match by chance for nearly as long as a passage, but have none. Whatever is rare, `passage` words
+    (characters of the text, punctuation included) with `edits` count by definition."""
 
     n: int
     window: int
@@ -45,12 +46,14 @@ class Rule:
     band: int
     matched: int
     matched_rare: int
+    passage: int
+    edits: int
 
 
 #: A passage of 30 words with 3 edits keeps a run of 7 words and 15 of its 27 4-grams.
-WORDS = Rule(n=4, window=4, share=15, among=27, band=3, matched=28, matched_rare=20)
+WORDS = Rule(n=4, window=4, share=15, among=27, band=3, matched=28, matched_rare=20, passage=30, edits=3)
 #: One of 60 characters (about 52 without punctuation) with 6 edits keeps a run of 7 and 18 5-grams.
-CHARS = Rule(n=5, window=3, share=18, among=48, band=4, matched=42, matched_rare=38)
+CHARS = Rule(n=5, window=3, share=18, among=48, band=4, matched=42, matched_rare=38, passage=60, edits=6)
 
 #: What an edit costs where a match is worth 1: stretches with over a quarter of edits lose.
 COST = 3
@@ -100,6 +103,7 @@ class Index:
         self.vocab: dict[str, int] = {}
         self.items = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in t], dtype=np.int64) for t in toks]
         self.rules = [CHARS if 2 * sum(1 for w in t if _HAN.match(w)) > len(t) else WORDS for t in toks]
+        self.spans = [_spans(t, w, r) for (_, t), w, r in zip(items, toks, self.rules)]
         self.by_rule = {}
         for rule in (WORDS, CHARS):
             where = defaultdict(list)
@@ -184,15 +188,66 @@ class Index:
                     if matched < rule.matched_rare and 3 * matched > 2 * rule.matched_rare:
                         # edits close together may have cut a passage short: look on at a lower cost
                         matched, start, length = smith_waterman(self.items[i], ids[lo:hi], COST - 1)
-                    if matched < CLOSE * length or matched < rule.matched_rare:
-                        continue
+                    close = matched >= CLOSE * length and matched >= rule.matched_rare
                     inside = (item == i) & (dpos >= lo + start) & (dpos <= lo + start + length - rule.n)
-                    if matched >= rule.matched or told[inside].any():
+                    if not (close and (matched >= rule.matched or told[inside].any())):
+                        # frequency does not decide what is a passage by its length and edits
+                        place = passage(self.items[i], ids[lo:hi], self.spans[i], rule.edits)
+                        if place is not None and place[0] >= rule.matched_rare:
+                            matched, start, length = place
+                            close = True
+                        else:
+                            close = False
+                    if close:
                         done.add(i)
                         out.append((i, matched, lo + start, length))
         return out
 
 
+def _spans(text: str, toks: list[str], rule: Rule) -> np.ndarray:
+    """How many words from each on make up a passage; 0 where the item ends before. Characters are
+    counted in the text as it stands, without spaces."""
+    n = len(toks)
+    if rule is WORDS:
+        return np.where(np.arange(n) + rule.passage <= n, rule.passage, 0)
+    shown = "".join(unicodedata.normalize("NFKD", _MARKUP.sub("", text)).casefold().split())
+    at, k = [], 0
+    for w in toks:
+        k = max(shown.find(w, k), k)
+        at.append(k)
+        k += len(w)
+    ends = np.searchsorted(np.array([*at, len(shown)]), np.array(at, dtype=np.int64) + rule.passage)
+    return np.where(ends <= n, ends - np.arange(n), 0)
+
+
+def passage(a: np.ndarray, b: np.ndarray, spans: np.ndarray, edits: int) -> tuple[int, int, int] | None:
+    """(matched at least, start in b, length in b) of the stretch of `a` among those of `spans[s]` words
+    from s on that stands in `b` with fewest edits, if these are at most `edits`."""
+    starts = np.flatnonzero(spans)
+    if not len(starts) or not len(b):
+        return None
+    cols = np.arange(len(b) + 1)
+    cost = np.zeros((len(starts), len(b) + 1), dtype=np.int64)
+    began = np.tile(cols, (len(starts), 1))
+    best = None
+    for step in range(int(spans.max())):
+        x = a[np.minimum(starts + step, len(a) - 1)]
+        diag = cost[:, :-1] + (b[None, :] != x[:, None])
+        up = cost + 1
+        s, st = up.copy(), began.copy()
+        use = diag <= up[:, 1:]
+        s[:, 1:][use], st[:, 1:][use] = diag[use], began[:, :-1][use]
+        lead = s - cols
+        low = np.minimum.accumulate(lead, axis=1)
+        src = np.maximum.accumulate(np.where(lead == low, cols, 0), axis=1)
+        cost, began = low + cols, np.take_along_axis(st, src, axis=1)
+        for r in np.flatnonzero(spans[starts] == step + 1):
+            k = int(cost[r].argmin())
+            if cost[r, k] <= edits and (best is None or cost[r, k] < best[0]):
+                best = (int(cost[r, k]), step + 1, int(began[r, k]), k)
+    return None if best is None else (best[1] - best[0], best[2], best[3] - best[2])
+
+
 def smith_waterman(a: np.ndarray, b: np.ndarray, cost: int = COST) -> tuple[int, int, int]:
     """(matched, start in b, length in b) of the best local alignment of two word sequences.
 

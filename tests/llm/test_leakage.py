@@ -54,6 +54,25 @@ def test_planted_passages(spark):
     assert sum(r.doc == 1002 for r in rows) == 2
 
 
+def test_passages_that_a_third_of_all_documents_hold(spark):
+    """Rarity must not depend on how often the passage itself has leaked."""
+    rng = random.Random(5)
+    item, han = " ".join(rng.choices(VOC, k=80)), "".join(rng.choices(HAN, k=120))
+    docs, truth = [], set()
+    for d in range(120):
+        part, chars = item.split()[20:50], list(han[20:80])
+        for k in rng.sample(range(3, 27), 3):
+            part[k] = f"odd{d}"
+        for k in rng.sample(range(3, 57), 6):
+            chars[k] = rng.choice("了的是")
+        docs += [(3 * d, " ".join(rng.choices(VOC, k=20) + part + rng.choices(VOC, k=20))), (3 * d + 1, "".join(rng.choices(HAN, k=20) + chars))]
+        docs.append((3 * d + 2, " ".join(rng.choices(VOC, k=20) + item.split()[20:39] + rng.choices(VOC, k=20))))
+        truth |= {(3 * d, 1), (3 * d + 1, 2)}
+    df = spark.createDataFrame(docs, "doc bigint, text string")
+    it = spark.createDataFrame([(1, item), (2, han)], "item bigint, text string")
+    assert {(r.doc, r.item) for r in find_leaks(spark, df, "doc", "text", it, "item", "text").collect()} == truth
+
+
 def test_empty(spark):
     d, i = spark.createDataFrame([], "doc bigint, text string"), spark.createDataFrame([], "item bigint, text string")
     assert find_leaks(spark, d, "doc", "text", i, "item", "text").count() == 0
