@@ -94,38 +94,62 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.query("p5_hierarchy")
 def p5_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every revision with its node id, parent, root, depth, path of node ids, and whether it hangs on a cycle."""
+    """Every revision with its node id, parent, root, depth, path of node ids, and whether it hangs on a cycle.
+
+    Below a cycle path and depth start at the member of the cycle that the way up enters; a member is
+    at depth 0 with itself as its path. The root stays the cycle's least member.
+    """
     scratch = Scratch(spark, "pointers")
     names, nodes = pointer_nodes(spark, sf_dir, scratch)
-    return hierarchy(nodes, scratch, with_path=True).join(names, "id").withColumnRenamed("id", "node_id")
+    tree, _, _ = _opened(nodes, scratch)
+    return tree.join(names, "id").withColumnRenamed("id", "node_id")
+
+
+def _opened(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(hierarchy with paths, each cycle cut open so that its members are the roots of what hangs
+    below them; members (id, parent, ring); whole hierarchy)."""
+    whole = scratch.save(hierarchy(nodes, scratch))
+    ring = _on_cycles(whole, scratch).withColumnRenamed("root", "ring")
+    cut = nodes.join(ring.select("id", F.lit(True).alias("on")), "id", "left").select("id", F.when(F.col("on").isNull(), F.col("parent")).alias("parent"))
+    below = scratch.save(hierarchy(scratch.save(cut), scratch, with_path=True))
+    tree = below.select("id", "depth", "path").join(whole.select("id", "parent", "root", "is_ring"), "id")
+    return tree.select("id", "parent", "root", "depth", "is_ring", "path"), ring, below
 
 
 @R.query("p5_descendants")
 def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ancestor, descendant, distance) in node ids: all descendants of every revision outside cycles."""
+    """(ancestor, descendant, distance) in node ids: all descendants of every revision, each once.
+
+    On a cycle every other member is a descendant, and what hangs below any of them; the distance is
+    that of the first time round, and no revision is its own descendant.
+    """
     scratch = Scratch(spark, "pointers")
     _, nodes = pointer_nodes(spark, sf_dir, scratch)
-    tree = hierarchy(nodes, scratch, with_path=True).where("depth > 0")
-    return tree.select("id", "depth", F.posexplode("path")).where("pos < depth").select(
+    _, ring, below = _opened(nodes, scratch)
+    straight = below.where("depth > 0").select("id", "depth", F.posexplode("path")).where("pos < depth").select(
         F.col("col").alias("ancestor"), F.col("id").alias("descendant"), (F.col("depth") - F.col("pos")).alias("distance")
     )
+    # places on each cycle: steps up to its least member, which cuts it open
+    line = ring.select("id", F.when(F.col("id") != F.col("ring"), F.col("parent")).alias("parent"))
+    place = hierarchy(scratch.save(line), scratch).select("id", F.col("root").alias("ring"), F.col("depth").alias("at"))
+    place = scratch.save(place)
+    size = place.groupBy("ring").agg(F.count("*").alias("size"))
+    lower = below.select("id", "root", "depth").join(place.withColumnRenamed("id", "root"), "root")
+    upper = place.select("ring", F.col("id").alias("ancestor"), F.col("at").alias("above")).join(size, "ring")
+    # the member that the way enters by has its own way already
+    around = lower.join(upper, "ring").where("ancestor != root").select(
+        "ancestor", F.col("id").alias("descendant"), (F.col("depth") + F.pmod(F.col("at") - F.col("above"), F.col("size"))).alias("distance")
+    )
+    return straight.unionByName(around)
 
 
-@R.query(
-    "p5_cycles",
-    _PARENTS
-    + """SELECT DISTINCT x.p AS pointer_id, x.r AS revision, x.pp AS parent_pointer_id, x.pr AS parent_revision
-FROM ring JOIN par x ON x.p = ring.p AND x.r = ring.r""",
-)
-def p5_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The circular links themselves: revisions on a cycle, with the link each of them has.
+def _on_cycles(tree: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, parent, root) of the members of cycles among the rows of a hierarchy.
 
     From the least member of each cycle, its first 2, 4, 8, ... members are gathered, with links
     that reach as far, until no more come.
     """
-    scratch = Scratch(spark, "pointers")
-    names, nodes = pointer_nodes(spark, sf_dir, scratch)
-    rings = scratch.save(hierarchy(nodes, scratch).where("is_ring").select("id", "parent", "root"))
+    rings = scratch.save(tree.where("is_ring").select("id", "parent", "root"))
     links, on, n = rings.select("id", "parent"), rings.select(F.col("root").alias("m")).distinct(), 0
     while True:
         on = scratch.save(on.union(on.join(links, F.col("m") == F.col("id")).select("parent")).distinct())
@@ -133,6 +157,19 @@ def p5_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
             break
         n, far = now, links.select(F.col("id").alias("j"), F.col("parent").alias("to"))
         links = scratch.save(links.join(far, F.col("parent") == F.col("j")).select("id", F.col("to").alias("parent")))
-    left = rings.join(on, F.col("id") == F.col("m")).select("id", "parent")
+    return scratch.save(rings.join(on, F.col("id") == F.col("m")).select("id", "parent", "root"))
+
+
+@R.query(
+    "p5_cycles",
+    _PARENTS
+    + """SELECT DISTINCT x.p AS pointer_id, x.r AS revision, x.pp AS parent_pointer_id, x.pr AS parent_revision
+FROM ring JOIN par x ON x.p = ring.p AND x.r = ring.r""",
+)
+def p5_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The circular links themselves: revisions on a cycle, with the link each of them has."""
+    scratch = Scratch(spark, "pointers")
+    names, nodes = pointer_nodes(spark, sf_dir, scratch)
+    left = _on_cycles(hierarchy(nodes, scratch), scratch).select("id", "parent")
     parents = names.select(F.col("id").alias("parent"), F.col("pointer_id").alias("parent_pointer_id"), F.col("revision").alias("parent_revision"))
     return left.join(names, "id").join(parents, "parent").select(*KEY, "parent_pointer_id", "parent_revision")

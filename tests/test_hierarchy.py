@@ -59,3 +59,32 @@ def test_forest_of_one_block():
     ids = np.array([3, 5, 9])
     up, off, least, ring, *_ = H._forest(ids, np.array([-1, 3, 5]), np.array([False, True, True]))
     assert list(up) == [0, 0, 0] and list(off) == [0, 1, 2] and not ring.any()
+
+
+def test_below_and_on_cycles(spark, monkeypatch):
+    """Every node has a path from the cycle it hangs on, and all its descendants, each once."""
+    from inkframe.plans import queries_hierarchy as Q
+
+    rng = random.Random(7)
+    ids = [i + (i % 3) * (1 << 33) for i in range(50)]
+    parent = {i: (None if rng.random() < 0.1 else rng.choice(ids)) for i in ids}
+    parent |= {100 + i: 100 + (i + 1) % 5 for i in range(5)} | {200: 103, 201: 200, 202: 201, 300: 300, 301: 300}
+    nodes = spark.createDataFrame(list(parent.items()), "id bigint, parent bigint")
+    names = nodes.selectExpr("cast(id as string) as pointer_id", "1L as revision", "id")
+    monkeypatch.setattr(Q, "pointer_nodes", lambda *_: (names, nodes))
+    want, ring = {}, set()
+    for n in parent:
+        x, k = parent[n], 1
+        while x is not None and x != n and (x, n) not in want:
+            want[x, n] = k
+            x, k = parent[x], k + 1
+        if x == n:
+            ring.add(n)
+    got = Q.p5_descendants(spark, "").collect()
+    assert len(got) == len(want) and {(r.ancestor, r.descendant): r.distance for r in got} == want
+    for r in Q.p5_hierarchy(spark, "").collect():
+        way = [r.node_id]
+        while way[0] not in ring and parent[way[0]] is not None:
+            way.insert(0, parent[way[0]])
+        old = brute(parent)[r.node_id]
+        assert (r.path, r.depth, r.root, r.is_ring, r.parent) == (way, len(way) - 1, old[0], old[2], parent[r.node_id])
