@@ -158,6 +158,12 @@ def _shape(codec: str) -> re.Pattern | None:
     return re.compile(f"(?:{of(0xC2, 0xDF)}{tail}|{of(0xE0, 0xEF)}{tail}{{2}}|{of(0xF0, 0xF4)}{tail}{{3}})+")
 
 
+@lru_cache(1)
+def _any_shape() -> re.Pattern:
+    """A place where a sequence of UTF-8 may have been read in one of the single-byte encodings."""
+    return re.compile("|".join(p.pattern[:-1] for c in READ_AS if (p := _shape(c)) is not None))
+
+
 def _utf8_runs(text: str, codec: str) -> list[tuple[int, int, str]]:
     """(start, end, repaired) of stretches whose bytes in `codec` are UTF-8 sequences."""
     found = []
@@ -432,7 +438,8 @@ class Repair:
         def one(m: re.Match) -> str:
             nonlocal odd
             t = m.group()
-            if self.worst(t) <= ASK and not _SURE.search(t):
+            # what may be UTF-8 is tried however usual its pairs are
+            if self.worst(t) <= ASK and not _SURE.search(t) and not _any_shape().search(t):
                 return t
             odd = True
             return self.token(t)

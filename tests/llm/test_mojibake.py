@@ -79,3 +79,15 @@ def test_right_signs_after_capitals_are_not_lost(text):
     from inkframe.llm.mojibake import _lost
 
     assert not _lost(text)
+
+
+def test_usual_garbling_is_tried():
+    """One kind of garbling in so many texts that its pairs are below the gate."""
+    from inkframe.llm import mojibake as M
+
+    right = [t for t in [*PLAIN[:3], "été jeté, la clé et le thé. "] for _ in range(300)]
+    bad = "Il a jetÃ© la clÃ© et le thÃ©."
+    codes, n = M.count_pairs(right + [bad] * 20)
+    repair = M.Repair(M.Rarity(dict(zip(codes.tolist(), n.tolist()))))
+    assert all(repair.worst(m.group()) <= M.ASK for m in M._TOKEN.finditer(bad))
+    assert repair.text(bad)[0]
