@@ -10,7 +10,7 @@ One multi-pattern automaton runs once over each lower-cased text. Its patterns a
 A text that as a whole is such a page is told by coverage: the matched stretches, together with
 figures, codes and markup between them, make up most of its characters, and a notice is among them.
 Real content that quotes a notice has far more text than the quotation. Two kinds of filler have no
-fixed wording and are told by their form: one short unit repeated throughout, and keyboard mash.
+fixed wording and are told by their form: one unit repeated over most of the text, and keyboard mash.
 """
 
 from __future__ import annotations
@@ -129,7 +129,6 @@ _BLANKED = re.compile(r"<[^<>\n]{1,60}>|\b[0-9a-f]{5,}\b|\d+|[^\w]+|_")
 # What stands in a form that nobody filled in.
 _EMPTY = "暂无 略 待补充 待定 待补 无 未填 n/a none tbd null nil tba - -- … …… ... ?".split()
 _LINE = re.compile(r"[^:：\n]{1,30}[:：]\s*(.*)")
-_REPEAT = re.compile(r"(.{1,40}?)\1{3,}", re.DOTALL)
 
 
 def _alone(text: str, lo: int, hi: int) -> bool:
@@ -138,17 +137,38 @@ def _alone(text: str, lo: int, hi: int) -> bool:
     return not text[a:lo].strip() and not text[hi : len(text) if b < 0 else b].strip()
 
 
+def _repeats(flat: str) -> bool:
+    """Whether one unit, of any length, stands four times in a row and makes up most of the letters, a
+    heading before it and an ending after it left out."""
+    n = len(flat)
+    # a stretch that repeats over most of the text holds its middle and two periods from there
+    for lo in (n // 2, n // 4):
+        probe = flat[lo : lo + 8]
+        at = lo
+        for _ in range(64):
+            at = flat.find(probe, at + 1)
+            if at < 0 or 4 * (at - lo) > n:
+                break
+            p = at - lo
+            c = np.frombuffer(flat.encode("utf-32-le", "replace"), dtype=np.uint32)
+            off = np.flatnonzero(c[p:] != c[:-p])
+            k = int(np.searchsorted(off, lo))
+            a = int(off[k - 1]) + 1 if k else 0
+            b = (int(off[k]) if k < len(off) else n - p) + p
+            if a <= lo < b and b - a >= 4 * p and b - a >= COVERAGE * n and (p > 1 or n > 20):
+                return True
+    return False
+
+
 def _formless(text: str) -> bool:
-    """A form with no field filled in, one short unit repeated throughout, or keys struck at random."""
-    if len(text) < 2000:
-        lines = [_LINE.fullmatch(x.strip()) for x in text.split("\n") if x.strip()]
-        if len(lines) > 1 and all(m and m.group(1).strip().lower() in _EMPTY for m in lines):
-            return True
+    """A form with no field filled in, one unit repeated over most of the text, or keys struck at random."""
+    lines = [_LINE.fullmatch(x.strip()) for x in text.split("\n") if x.strip()]
+    if len(lines) > 1 and all(m and m.group(1).strip().lower() in _EMPTY for m in lines):
+        return True
     flat = re.sub(r"[\W\d_]+", "", text.lower())
     if len(flat) < 12:
         return False
-    m = _REPEAT.match(flat)
-    if m and m.end() >= len(flat) - len(m.group(1)) and (len(m.group(1)) > 1 or len(flat) > 20):
+    if _repeats(flat):
         return True
     if len(flat) >= 30 and flat.isascii():
         # home-row mash: few different letters, most of them consonants, no capitals in the text

@@ -31,3 +31,15 @@ def test_long_text_is_read_whole(spark):
     got = sorted((r.k, r.residue, r.reason) for r in judge_residue(spark.createDataFrame([(k, t, "x") for k, t in rows], "k int, t string, residue string"), "k", "t").collect())
     assert got == [(1, False, ""), (1, True, "placeholder"), (2, False, "")]
     assert judge_residue(spark.createDataFrame([], "k int, t string"), "k", "t").count() == 0
+
+
+UNIT = "Here stands a whole sentence of our own that nobody wrote for this tale, and it says nothing. "
+
+
+@pytest.mark.parametrize("text", [UNIT * 40, "Chapter Five: the Mill at Dusk\n" + UNIT * 12 + "The end", "名称：暂无\n" * 400, "foo " * 30 + "x"])
+def test_repeats_and_forms_of_any_length(text):
+    assert verdict(text)[::2] == (True, "filler")
+
+
+def test_a_refrain_is_no_filler():
+    assert not verdict("".join(f"Verse {w} of the long song tells of {w} again. " + UNIT for w in "oak elm ash fir yew bay".split()))[0]
