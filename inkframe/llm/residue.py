@@ -110,7 +110,7 @@ _WORD = re.compile(r"[^\W\d_]+(?:[’'][^\W\d_]+)*")
 _HAN = re.compile(r"[㐀-鿿豈-﫿]")
 _NAME = r"[A-Za-z_\u00c0-\u024f一-鿿][\w .\-一-鿿]*"
 _FIELD = "(?:" + "|".join(re.escape(f) for f in sorted(set(FIELDS), key=len, reverse=True)) + ")"
-_FIELDLIKE = rf"{_FIELD}(?:[ _.\-]{{0,2}}{_FIELD})*"
+_FIELDLIKE = rf"(?>{_FIELD}(?:[ _.\-]{{0,2}}{_FIELD})*)"
 # The grammar of placeholders, by what opens them; bounded by the end of the line and by their own signs.
 _GRAMMAR = {
     "{{": rf"\{{\{{[#/^&>!~-]?\s*{_NAME}(?:\|\s*[^{{}}\n]*)?\s*\}}\}}",
@@ -173,10 +173,10 @@ _LATIN = re.compile(r"[a-zà-ÿ0-9_]")
 _SENTENCE = re.compile(r"[^\n.!?。！？]*(?:[.!?](?![\s\"'”’)\]}]|$)[^\n.!?。！？]*)*[.!?。！？]*")
 # stack frames, log heads and bare codes count as covered, whatever names they hold
 _FRAMES = re.compile(
-    r"(?m)^\s*File \".*\", line \d+.*$|^\s*at [\w.$<>/]+ ?\(.*\)\s*$|^\s*(?:Caused by: )?[\w.]*\w(?:Error|Exception)(?::[^\n]*)?$|^\s*\[?(?:ERROR|WARN(?:ING)?|FATAL|CRITICAL)\]?\b.*$|"
-    r"^\s*\d{4}-\d\d-\d\d[ T]\d\d:\d\d\S*\s+\[?(?:ERROR|WARN(?:ING)?|FATAL|CRITICAL)\b.*$"
+    r"(?m)^[ \t]*File \".*\", line \d+.*$|^[ \t]*at [\w.$<>/]+ ?\(.*\)[ \t]*$|^[ \t]*(?:Caused by: )?[\w.]*\w(?:Error|Exception)(?::[^\n]*)?$|^[ \t]*\[?(?:ERROR|WARN(?:ING)?|FATAL|CRITICAL)\]?\b.*$|"
+    r"^[ \t]*\d{4}-\d\d-\d\d[ T]\d\d:\d\d\S*\s+\[?(?:ERROR|WARN(?:ING)?|FATAL|CRITICAL)\b.*$"
 )
-_CODE = re.compile(r"<[^<>\n]+>|&[a-z]+;|https?://\S+|\S+\.(?:html?|php|aspx?|jsp)\b|\b(?=[0-9a-f]*\d)[0-9a-f]{5,}\b|\b[0-9a-f]{6,}\b", re.IGNORECASE)
+_CODE = re.compile(r"<[^<>\n]+>|&[a-z]+;|https?://\S+|(?<![a-z0-9_/.\-])[a-z0-9_/.\-]+\.(?:html?|php|aspx?|jsp)\b|\b(?=[0-9a-f]*\d)[0-9a-f]{5,}\b|\b[0-9a-f]{6,}\b", re.IGNORECASE)
 # What stands in a form that nobody filled in.
 _EMPTY = "暂无 略 待补充 待定 待补 无 未填 n/a na none tbd null nil tba - -- — … …… ... ? x xx xxx".split()
 _LINE = re.compile(r"[^:：\n]+[:：]\s*(.*)")
@@ -209,13 +209,14 @@ def _repeats(flat: str) -> bool:
     for lo in (n // 2, n // 4):
         probe = flat[lo : lo + 8]
         at = lo
-        c = None
+        c, short = None, []
         while True:
             at = flat.find(probe, at + 1)
             if at < 0 or 4 * (at - lo) > n:
                 break
             p = at - lo
-            if flat[lo : lo + p] != flat[at : at + p]:
+            # a multiple of a period whose run is too short has the same run; few others come round here
+            if flat[lo : lo + p] != flat[at : at + p] or any(p % q == 0 for q in short):
                 continue
             if c is None:
                 c = np.frombuffer(flat.encode("utf-32-le", "replace"), dtype=np.uint32)
@@ -225,8 +226,7 @@ def _repeats(flat: str) -> bool:
             b = (int(off[k]) if k < len(off) else n - p) + p
             if a <= lo < b and b - a >= 4 * p and b - a >= COVERAGE * n and (p > 1 or n > 20):
                 return True
-            if p > 1 and b - a < COVERAGE * n and b - a >= 2 * p:
-                break  # the run around this place ends too early, and so do those of its multiples
+            short.append(p)
     return False
 
 

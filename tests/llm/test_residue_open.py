@@ -53,3 +53,13 @@ def test_length_decides_nothing():
         assert verdict("Field: n/a\n" * n)[::2] == (True, "filler")
     assert verdict("A tale of the town. " * 3 + "{{ " + "customer_name_" * 40 + " }}")[2] == "placeholder"
     assert verdict("[TODO: " + "write the ending of this chapter " * 20 + "]")[2] == "placeholder"
+
+
+def test_hard_texts_end_soon():
+    import time
+
+    start = time.perf_counter()
+    for t in ("[" + "username" * 4000 + "!]", "\n" * 200_000 + "error", "错误" + "在门前的树下" * 60_000, "ab" * 100_000 + "error c", "error " + "a.b/" * 80_000, "{{ " * 50_000, "fofobar" * 9 + "x" * 200_000 + "y", "<" * 90_000 + "error"):
+        verdict(t)
+    assert verdict("fofobar " * 40)[0]
+    assert time.perf_counter() - start < 20
