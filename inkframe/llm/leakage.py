@@ -1,14 +1,17 @@
 """Evaluation texts leaking into training text.
 
-The evaluation items are a stated query set; they are taken in blocks of at most `BLOCK` items, and
-each block's index is small enough to send to every executor. For each block the corpus is read twice:
+The evaluation items are a stated query set; they are taken in blocks of at most `BLOCK` characters (a
+single longer item is a block of its own), and each block's index is small enough to send to every
+executor. For each block the corpus is read once:
 
-1. how many documents hold each n-gram of the items (counted per task, summed by Spark);
+1. each document's words are looked up in the items' n-grams, over a whole batch at a time. The task
+   counts in how many documents each n-gram stands (summed by Spark), and keeps the hits of documents
+   in which enough of them stand close together; both go into one written table;
 2. seeds: of each few consecutive n-grams of an item, the one that is rarest in the corpus. A passage
    with at most one edit in ten always keeps a run of words that contains a seed, so rarity only
    chooses, it never drops. Items that share a seed with a document are compared by the n-grams they
    share along a diagonal band (a passage with so few edits must share a fixed number), and what
-   passes that is aligned by Smith-Waterman, which decides.
+   passes that is aligned by Smith-Waterman along the band, which decides.
 
 Texts are compared as words without case, accents, punctuation and markup; Chinese as characters.
 """
@@ -26,8 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Items of one block: bounds what is sent to the executors.
-BLOCK = 2000
+from inkframe.scratch import Scratch
+
+#: Characters of the items of one block: bounds what is sent to the executors and counted for it.
+BLOCK = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -57,6 +62,10 @@ CHARS = Rule(n=5, window=3, share=18, among=48, band=4, matched=42, matched_rare
 
 #: What an edit costs where a match is worth 1: stretches with over a quarter of edits lose.
 COST = 3
+#: Half the width of the band that alignments may use: far more than the edits of a passage shift.
+HALF = 64
+#: Words of an item that one alignment may go over.
+TILE = 1 << 18
 #: An n-gram is rare in up to so many documents, or in up to this share of them.
 RARE_DOCS, RARE_SHARE = 10, 0.001
 #: Least share of an alignment's words in the document that match.
@@ -105,18 +114,18 @@ class Index:
         self.rules = [CHARS if 2 * sum(1 for w in t if _HAN.match(w)) > len(t) else WORDS for t in toks]
         self.spans = [_spans(t, w, r) for (_, t), w, r in zip(items, toks, self.rules)]
         self.by_rule = {}
-        for rule in (WORDS, CHARS):
-            where = defaultdict(list)
-            for i, ids in enumerate(self.items):
-                if self.rules[i] is rule:
-                    for p, g in enumerate(_grams(ids, rule.n)):
-                        where[int(g)].append((i, p))
-            grams = np.array(sorted(where), dtype=np.uint64)
-            lists = [where[int(g)] for g in grams]
-            ends = np.cumsum([0, *map(len, lists)])
-            flat = np.array([x for li in lists for x in li], dtype=np.int64).reshape(-1, 2)
+        for rule in RULES:
+            mine = [i for i, r in enumerate(self.rules) if r is rule]
+            flat, starts = _joined([self.items[i] for i in mine])
+            g = _grams(flat, rule.n)
+            at = np.flatnonzero(g)
+            grams, number = np.unique(g[at], return_inverse=True)
+            own = np.searchsorted(starts, at, side="right") - 1
+            places = np.stack([np.array(mine, dtype=np.int64)[own], at - starts[own]], axis=1) if len(at) else np.zeros((0, 2), np.int64)
+            order = np.argsort(number, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(grams)))])
             # n-grams, where each one's places begin, places (item, position); seeds and rare ones
-            self.by_rule[rule] = [grams, ends, flat, np.zeros(len(grams), dtype=bool), np.zeros(len(grams), dtype=bool)]
+            self.by_rule[rule] = [grams, ends, places[order], np.zeros(len(grams), dtype=bool), np.zeros(len(grams), dtype=bool)]
 
     def ids(self, text: str | None) -> np.ndarray:
         get = self.vocab.get
@@ -134,75 +143,136 @@ class Index:
         same = grams[at] == g
         return pos[same], at[same]
 
-    def choose_seeds(self, counts: dict[tuple[int, int], int], docs: int) -> None:
-        """Of each `window` n-grams in a row the rarest; the earliest of equally rare ones. `docs` is
-        the number of documents of the corpus."""
-        for r, rule in enumerate((WORDS, CHARS)):
+    def look_up(self, texts: list[str | None], sums: dict[Rule, np.ndarray]) -> list[tuple[int, int, bytes, bytes, bytes]]:
+        """Count the documents of each n-gram into `sums`; (document, rule, positions, n-grams, words) of
+        those in which as many n-grams of the items as a passage shares stand within its length."""
+        each = [self.ids(t) for t in texts]
+        flat, starts = _joined(each)
+        out = []
+        for r, rule in enumerate(RULES):
+            pos, at = self.hits(flat, rule)
+            if not len(pos):
+                continue
+            doc = np.searchsorted(starts, pos, side="right") - 1
+            n = len(sums[rule])
+            sums[rule] += np.bincount(np.unique(doc * n + at) % n, minlength=n)
+            if len(pos) < rule.share:
+                continue
+            k = rule.share - 1
+            near = (pos[k:] - pos[: len(pos) - k] < rule.among + (1 << rule.band)) & (doc[k:] == doc[: len(doc) - k])
+            for d in np.unique(doc[k:][near]).tolist():
+                lo, hi = np.searchsorted(doc, d), np.searchsorted(doc, d, side="right")
+                out.append((d, r, (pos[lo:hi] - starts[d]).astype(np.int32).tobytes(), at[lo:hi].astype(np.int32).tobytes(), each[d].astype(np.int32).tobytes()))
+        return out
+
+    def choose_seeds(self, counts: list[tuple[np.ndarray, np.ndarray]], docs: int) -> None:
+        """Of each `window` n-grams in a row the rarest; the earliest of equally rare ones. `counts` holds
+        n-grams and in how many documents they stand, `docs` is the number of documents of the corpus."""
+        for rule, (number, n) in zip(RULES, counts):
             grams, _, _, seed, rare = self.by_rule[rule]
-            df = np.array([counts.get((r, k), 0) for k in range(len(grams))], dtype=np.int64)
+            if not len(grams):
+                continue
+            df = np.zeros(len(grams), dtype=np.int64)
+            df[number] = n
             rare[:] = df <= max(RARE_DOCS, RARE_SHARE * docs)
             for i, ids in enumerate(self.items):
-                if self.rules[i] is rule:
+                if self.rules[i] is rule and len(ids) >= rule.n:
                     at = np.searchsorted(grams, _grams(ids, rule.n))
-                    for lo in range(max(1, len(at) - rule.window + 1)):
-                        span = at[lo : lo + rule.window]
-                        if len(span):
-                            seed[span[np.argmin(df[span])]] = True
+                    spans = np.lib.stride_tricks.sliding_window_view(at, min(rule.window, len(at)))
+                    seed[spans[np.arange(len(spans)), df[spans].argmin(axis=1)]] = True
 
     def leaks(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, matched words, first word, length in words in the document) of what has leaked."""
-        ids, out = self.ids(text), []
-        for rule, (_, ends, flat, seed, rare) in self.by_rule.items():
-            pos, at = self.hits(ids, rule)
-            if len(pos) < rule.share:
+        ids = self.ids(text)
+        return [x for rule in RULES for x in self.compare(rule, *self.hits(ids, rule), ids)]
+
+    def compare(self, rule: Rule, pos: np.ndarray, at: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """The same from a document's hits."""
+        _, ends, flat, seed, rare = self.by_rule[rule]
+        first = at[seed[at]]
+        if len(pos) < rule.share or not len(first):
+            return []
+        # items that share a seed with the document
+        wanted = np.zeros(len(self.items), dtype=bool)
+        wanted[flat[_ranges(ends[first], ends[first + 1]), 0]] = True
+        n = ends[at + 1] - ends[at]
+        rows = _ranges(ends[at], ends[at + 1])
+        item = flat[rows, 0]
+        keep = wanted[item]
+        # and so many n-grams at all
+        total = np.bincount(item[keep], minlength=len(self.items))
+        keep &= total[item] >= rule.share
+        if not keep.any():
+            return []
+        names = np.flatnonzero(total >= rule.share)
+        local, ipos = np.searchsorted(names, item[keep]), flat[rows, 1][keep]
+        dpos, told = np.repeat(pos, n)[keep], np.repeat(rare[at], n)[keep]
+        longest, out, done = int(ipos.max()) + 1, [], set()
+        diag = dpos - ipos + longest
+        for shift in (0, 1 << (rule.band - 1)):
+            band = (diag + shift) >> rule.band
+            group = local * (int(band.max()) + 1) + band
+            key = np.unique(group * longest + ipos)
+            # so many of an item's n-grams within a passage's length, on one band
+            if len(key) < rule.share:
                 continue
-            first = at[seed[at]]
-            if not len(first):
-                continue
-            wanted = np.zeros(len(self.items), dtype=bool)
-            for a in set(first.tolist()):
-                wanted[flat[ends[a] : ends[a + 1], 0]] = True
-            n = ends[at + 1] - ends[at]
-            rows = np.repeat(ends[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            dpos = np.repeat(pos, n)
-            item, ipos = flat[rows, 0], flat[rows, 1]
-            keep = wanted[item]
-            dpos, item, ipos, told = dpos[keep], item[keep], ipos[keep], np.repeat(rare[at], n)[keep]
-            diag = dpos - ipos + 4096
-            done = set()
-            for shift in (0, 1 << (rule.band - 1)):
-                band = (diag + shift) >> rule.band
-                key = np.sort((item << 44) | (band << 20) | ipos)
-                key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
-                # so many of an item's n-grams within a passage's length, on one band
-                if len(key) < rule.share:
-                    continue
-                first, last = key[: 1 - rule.share], key[rule.share - 1 :]
-                for g in np.unique(first[last - first < rule.among] >> 20):
-                    i, b = int(g >> 24), int(g & 0xFFFFFF)
-                    if i in done:
-                        continue
-                    near = dpos[(item == i) & (band == b)]
-                    lo, hi = max(0, int(near.min()) - 40), int(near.max()) + rule.n + 40
-                    matched, start, length = smith_waterman(self.items[i], ids[lo:hi])
-                    if matched < rule.matched_rare and 3 * matched > 2 * rule.matched_rare:
-                        # edits close together may have cut a passage short: look on at a lower cost
-                        matched, start, length = smith_waterman(self.items[i], ids[lo:hi], COST - 1)
-                    close = matched >= CLOSE * length and matched >= rule.matched_rare
-                    inside = (item == i) & (dpos >= lo + start) & (dpos <= lo + start + length - rule.n)
-                    if not (close and (matched >= rule.matched or told[inside].any())):
-                        # frequency does not decide what is a passage by its length and edits
-                        place = passage(self.items[i], ids[lo:hi], self.spans[i], rule.edits)
-                        if place is not None and place[0] >= rule.matched_rare:
-                            matched, start, length = place
-                            close = True
-                        else:
-                            close = False
-                    if close:
-                        done.add(i)
-                        out.append((i, matched, lo + start, length))
+            k = rule.share - 1
+            lo, hi = key[: len(key) - k], key[k:]
+            for g in np.unique((lo // longest)[(hi - lo < rule.among) & (lo // longest == hi // longest)]).tolist():
+                mine = group == g
+                i = int(names[local[mine][0]])
+                if i not in done and (found := self._align(rule, i, dpos[mine], ipos[mine], ids, dpos[(local == local[mine][0]) & told])):
+                    done.add(i)
+                    out.append((i, *found))
         return out
 
+    def _align(self, rule: Rule, i: int, dpos: np.ndarray, ipos: np.ndarray, ids: np.ndarray, told: np.ndarray) -> tuple[int, int, int] | None:
+        """(matched, first word, length) if what item and document share along one band is a passage."""
+        around, found = 40, None
+        order = np.argsort(ipos, kind="stable")
+        dpos, ipos = dpos[order], ipos[order]
+        # very long regions are aligned in tiles that overlap by more than a passage
+        for at in range(int(ipos[0]), int(ipos[-1]) + 1, TILE):
+            one, end = np.searchsorted(ipos, at), np.searchsorted(ipos, at + TILE + 8 * rule.passage)
+            if end - one >= rule.share and (place := self._align_tile(rule, i, dpos[one:end], ipos[one:end], ids, told, around)):
+                found = max(found or place, place)
+        return found
+
+    def _align_tile(self, rule: Rule, i: int, dpos: np.ndarray, ipos: np.ndarray, ids: np.ndarray, told: np.ndarray, around: int) -> tuple[int, int, int] | None:
+        ilo, ihi = max(0, int(ipos[0]) - around), int(ipos[-1]) + rule.n + around
+        lo, hi = max(0, int(dpos.min()) - around), int(dpos.max()) + rule.n + around
+        a, b = self.items[i][ilo:ihi], ids[lo:hi]
+        shift = int(np.median(dpos - ipos)) - lo + ilo
+        matched, start, length = smith_waterman(a, b, shift)
+        if matched < rule.matched_rare and 3 * matched > 2 * rule.matched_rare:
+            # edits close together may have cut a passage short: look on at a lower cost
+            matched, start, length = smith_waterman(a, b, shift, COST - 1)
+        if matched >= CLOSE * length and matched >= rule.matched_rare:
+            inside = (told >= lo + start) & (told <= lo + start + length - rule.n)
+            if matched >= rule.matched or inside.any():
+                return matched, lo + start, length
+        # frequency does not decide what is a passage by its length and edits
+        place = passage(a, b, np.where(np.arange(ilo, ilo + len(a)) + self.spans[i][ilo:ihi] <= ilo + len(a), self.spans[i][ilo:ihi], 0), rule.edits, shift)
+        if place is not None and place[0] >= rule.matched_rare:
+            return place[0], lo + place[1], place[2]
+        return None
+
+
+RULES = (WORDS, CHARS)
+
+
+def _joined(each: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts one after another with unknown words between, so that no n-gram spans two; where each begins."""
+    gap = np.zeros(max(r.n for r in RULES), dtype=np.int64)
+    starts = np.cumsum([0, *(len(x) + len(gap) for x in each)])[:-1] if each else np.zeros(0, np.int64)
+    return (np.concatenate([y for x in each for y in (x, gap)]) if each else gap), starts
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The numbers lo..hi-1 of each pair, one after another."""
+    n = hi - lo
+    return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
 
 def _spans(text: str, toks: list[str], rule: Rule) -> np.ndarray:
     """How many words from each on make up a passage; 0 where the item ends before. Characters are
@@ -220,124 +290,154 @@ def _spans(text: str, toks: list[str], rule: Rule) -> np.ndarray:
     return np.where(ends <= n, ends - np.arange(n), 0)
 
 
-def passage(a: np.ndarray, b: np.ndarray, spans: np.ndarray, edits: int) -> tuple[int, int, int] | None:
+def passage(a: np.ndarray, b: np.ndarray, spans: np.ndarray, edits: int, shift: int | None = None) -> tuple[int, int, int] | None:
     """(matched at least, start in b, length in b) of the stretch of `a` among those of `spans[s]` words
-    from s on that stands in `b` with fewest edits, if these are at most `edits`."""
-    starts = np.flatnonzero(spans)
-    if not len(starts) or not len(b):
+    from s on that stands in `b` with fewest edits, if these are at most `edits`. With `shift`, a stretch
+    from s on is looked for around s + shift only, so that long texts cost no more than their length."""
+    every = np.flatnonzero(spans)
+    if not len(every) or not len(b):
         return None
-    cols = np.arange(len(b) + 1)
-    cost = np.zeros((len(starts), len(b) + 1), dtype=np.int64)
-    began = np.tile(cols, (len(starts), 1))
     best = None
-    for step in range(int(spans.max())):
-        x = a[np.minimum(starts + step, len(a) - 1)]
-        diag = cost[:, :-1] + (b[None, :] != x[:, None])
-        up = cost + 1
-        s, st = up.copy(), began.copy()
-        use = diag <= up[:, 1:]
-        s[:, 1:][use], st[:, 1:][use] = diag[use], began[:, :-1][use]
-        lead = s - cols
-        low = np.minimum.accumulate(lead, axis=1)
-        src = np.maximum.accumulate(np.where(lead == low, cols, 0), axis=1)
-        cost, began = low + cols, np.take_along_axis(st, src, axis=1)
-        for r in np.flatnonzero(spans[starts] == step + 1):
-            k = int(cost[r].argmin())
-            if cost[r, k] <= edits and (best is None or cost[r, k] < best[0]):
-                best = (int(cost[r, k]), step + 1, int(began[r, k]), k)
+    tile = len(every) if shift is None else 256
+    for t in range(0, len(every), tile):
+        starts = every[t : t + tile]
+        lo = 0 if shift is None else max(0, int(starts[0]) + shift - HALF)
+        part = b[lo : len(b) if shift is None else max(0, int(starts[-1]) + int(spans.max()) + shift + HALF)]
+        if not len(part):
+            continue
+        cols = np.arange(len(part) + 1)
+        cost = np.zeros((len(starts), len(part) + 1), dtype=np.int64)
+        began = np.tile(cols, (len(starts), 1))
+        for step in range(int(spans[starts].max())):
+            x = a[np.minimum(starts + step, len(a) - 1)]
+            diag = cost[:, :-1] + (part[None, :] != x[:, None])
+            up = cost + 1
+            s, st = up.copy(), began.copy()
+            use = diag <= up[:, 1:]
+            s[:, 1:][use], st[:, 1:][use] = diag[use], began[:, :-1][use]
+            lead = s - cols
+            low = np.minimum.accumulate(lead, axis=1)
+            src = np.maximum.accumulate(np.where(lead == low, cols, 0), axis=1)
+            cost, began = low + cols, np.take_along_axis(st, src, axis=1)
+            for r in np.flatnonzero(spans[starts] == step + 1):
+                k = int(cost[r].argmin())
+                if cost[r, k] <= edits and (best is None or cost[r, k] < best[0]):
+                    best = (int(cost[r, k]), step + 1, lo + int(began[r, k]), lo + k)
     return None if best is None else (best[1] - best[0], best[2], best[3] - best[2])
 
 
-def smith_waterman(a: np.ndarray, b: np.ndarray, cost: int = COST) -> tuple[int, int, int]:
+def smith_waterman(a: np.ndarray, b: np.ndarray, shift: int | None = None, cost: int = COST) -> tuple[int, int, int]:
     """(matched, start in b, length in b) of the best local alignment of two word sequences.
 
-    A match is worth 1; a word replaced, dropped or added costs `cost`. Rows are computed as wholes; the
-    running maximum resolves gaps within a row. Words unknown to the items (0) match nothing. Every
-    cell carries how many matches its alignment has and where in b it starts.
+    A match is worth 1; a word replaced, dropped or added costs `cost`. With `shift`, word i of `a` may
+    stand only within `HALF` places of i + shift. Rows are computed as wholes; the running maximum
+    resolves gaps within a row. Words unknown to the items (0) match nothing. Every cell carries how many
+    matches its alignment has and where in b it starts.
     """
-    m = len(b)
-    if not m or not len(a):
+    n, m = len(a), len(b)
+    if not m or not n:
         return 0, 0, 0
-    score, hits, start = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64), np.arange(m + 1)
-    cols = np.arange(m + 1)
-    top = (0, 0, 0, 0)
-    for x in a:
-        same = np.concatenate([[False], b == x])
-        diag = np.concatenate([[0], score[:-1]]) + np.where(same, 1, -cost)
-        up = score - cost
-        from_diag = diag >= up
-        s = np.where(from_diag, diag, up)
-        h = np.where(from_diag, np.concatenate([[0], hits[:-1]]) + same, hits)
-        st = np.where(from_diag, np.concatenate([[0], start[:-1]]), start)
-        zero = s <= 0
-        s, h, st = np.where(zero, 0, s), np.where(zero, 0, h), np.where(zero, cols, st)
-        # gaps in a: from the best cell to the left, at `cost` for each step
-        lead = s + cost * cols
-        best = np.maximum.accumulate(lead)
-        src = np.maximum.accumulate(np.where(lead == best, cols, 0))
-        gap = best - cost * cols
-        use = (gap > s) & (gap > 0)
-        score, hits, start = np.where(use, gap, s), np.where(use, h[src], h), np.where(use, st[src], st)
-        k = int(score.argmax())
-        if score[k] > top[0]:
-            top = (int(score[k]), int(hits[k]), int(start[k]), k)
-    return top[1], top[2], top[3] - top[2]
+    # cell c of row i ends at word i + first + c of b; b is widened by words that match nothing
+    first, width = (1 - n, n + m) if shift is None else (shift - HALF, 2 * HALF + 1)
+    left = max(0, -first)
+    wide = np.concatenate([np.full(left, -1), b, np.full(max(0, n + first + width - m), -1)])
+    # a cell holds its score, matches and start in one number, so that one comparison orders all three
+    one, match = np.int64(1) << 43, (np.int64(1) << 43) + (np.int64(1) << 23)
+    steps = np.arange(width) * (one * cost)
+    fresh = np.arange(width) + left + first
+    cell, top, end = fresh.copy(), np.int64(0), 0
+    up = np.zeros(width, np.int64)
+    for i in range(n):
+        at = i + first
+        fresh = fresh + 1
+        if at >= m or at + width <= 0:
+            cell = fresh.copy()
+            continue
+        same = wide[left + at : left + at + width] == a[i]
+        # the word of a is dropped: the row before, one place on
+        up[:-1] = cell[1:]
+        new = np.maximum(np.where(same, cell + match, cell - cost * one), up - cost * one)
+        new = np.maximum(new, fresh)
+        # words added in b: from the best cell to the left, at `cost` for each step
+        new = np.maximum(np.maximum.accumulate(new + steps) - steps, fresh)
+        # a cell without a score begins anew
+        cell = np.where(new < one, fresh, new)
+        k = int(cell.argmax())
+        if cell[k] >> 43 > top >> 43:
+            top, end = cell[k], at + k + 1
+    if top < one:
+        return 0, 0, 0
+    begin = int(top & ((1 << 23) - 1)) - left
+    return int((top >> 23) & ((1 << 20) - 1)), begin, end - begin
 
 
 def find_leaks(spark: SparkSession, docs: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, item_text: str) -> DataFrame:
     """(doc_key, item_key, matched, first_word, n_words): documents that repeat a passage of an item.
 
-    Documents are read whole. Null and empty texts leak nothing, nor do items shorter than a passage.
-    Items of equal text each get their rows; repeated documents too. No items: no rows.
+    Documents and items are read whole, whatever their length. Null and empty texts leak nothing, nor do
+    items shorter than a passage. Items of equal text each get their rows; repeated documents too. No
+    items: no rows.
     """
-    sc = spark.sparkContext
+    sc, scratch = spark.sparkContext, Scratch(spark, "leaks")
     kinds = dict(docs.dtypes)[doc_key], dict(items.dtypes)[item_key]
     schema = f"`{doc_key}` {kinds[0]}, `{item_key}` {kinds[1]}, matched int, first_word int, n_words int"
     keyed = items.where(f"`{item_key}` is not null and `{item_text}` is not null").select(item_key, item_text)
-    n_blocks = -(-keyed.count() // BLOCK)
+    size = keyed.agg(F.sum(F.length(item_text))).first()[0] or 0
+    n_blocks = -(-size // BLOCK)
     out = None
     for block in range(n_blocks):
         # a block of the query set, of bounded size
-        part = keyed if n_blocks == 1 else keyed.where((F.abs(F.hash(item_key)) % n_blocks) == block)
-        index = Index([(r[0], r[1]) for r in part.collect()])
+        part = keyed if n_blocks == 1 else keyed.where(F.pmod(F.xxhash64(item_key), F.lit(n_blocks)) == block)
+        got = part.toArrow()
+        index = Index(list(zip(got.column(0).to_pylist(), got.column(1).to_pylist())))
         shared = sc.broadcast(index)
 
-        def tally(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def look_up(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ix = shared.value
-            sums, docs = [np.zeros(len(ix.by_rule[r][0]), np.int64) for r in (WORDS, CHARS)], 0
+            sums, docs = {r: np.zeros(len(ix.by_rule[r][0]), np.int64) for r in RULES}, 0
             for b in batches:
                 docs += b.num_rows
-                for t in b.column(0).to_pylist():
-                    ids = ix.ids(t)
-                    for k, rule in enumerate((WORDS, CHARS)):
-                        _, at = ix.hits(ids, rule)
-                        if len(at):
-                            sums[k][np.unique(at)] += 1
-            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([-1], pa.int32()), pa.array([docs], pa.int64())], ["rule", "gram", "docs"])
-            for k, s in enumerate(sums):
-                nz = np.flatnonzero(s)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(nz), k, np.int32)), pa.array(nz.astype(np.int32)), pa.array(s[nz])], ["rule", "gram", "docs"])
-
+                found = ix.look_up(b.column(1).to_pylist(), sums)
+                key = b.column(0).take(pa.array([x[0] for x in found], pa.int64()))
+                cols = list(zip(*found)) if found else [[]] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.nulls(len(found), pa.int64()), pa.nulls(len(found), pa.int64()), key, pa.array(cols[1], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[2:])],
+                    names,
+                )
+                none = lambda n: [pa.nulls(n, b.schema.field(0).type)]
+                rest = lambda n: [pa.nulls(n, pa.binary())] * 3
+            if not docs:
+                return
+            yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int64()), pa.array([docs], pa.int64()), *none(1), pa.array([-1], pa.int32()), *rest(1)], names)
+            for r, rule in enumerate(RULES):
+                nz = np.flatnonzero(sums[rule])
+                yield pa.RecordBatch.from_arrays([pa.array(nz), pa.array(sums[rule][nz]), *none(len(nz)), pa.array(np.full(len(nz), r, np.int32)), *rest(len(nz))], names)
+
+        names = ["gram", "docs", "key", "rule", "places", "grams", "words"]
+        seen = scratch.save(docs.select(doc_key, text).mapInArrow(look_up, f"gram bigint, docs bigint, key {kinds[0]}, rule int, places binary, grams binary, words binary"))
         # one row for each n-gram of the block at most
-        counted = docs.select(text).mapInArrow(tally, "rule int, gram int, docs bigint").groupBy("rule", "gram").agg(F.sum("docs").alias("docs"))
-        found = {(r.rule, r.gram): r.docs for r in counted.collect()}
-        index.choose_seeds(found, found.pop((-1, -1), 0))
+        counted = seen.where("gram is not null").groupBy("rule", "gram").agg(F.sum("docs").alias("docs")).toArrow()
+        rule, gram, n = (counted.column(c).to_numpy() for c in ("rule", "gram", "docs"))
+        index.choose_seeds([(gram[rule == r], n[rule == r]) for r in range(len(RULES))], int(n[rule == -1].sum()))
+        index.vocab = {}
         seeded = sc.broadcast(index)
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=seeded) -> Iterator[pa.RecordBatch]:
-            ix = shared.value
+        def compare(batches: Iterator[pa.RecordBatch], shared=seeded) -> Iterator[pa.RecordBatch]:
+            ix, whole = shared.value, lambda x: np.frombuffer(x, dtype=np.int32).astype(np.int64)
             for b in batches:
-                keys, found = [], []
-                for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    for x in ix.leaks(t):
-                        keys.append(k)
+                at, found = [], []
+                for k, (r, p, g, w) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4)))):
+                    for x in ix.compare(RULES[r], whole(p), whole(g), whole(w)):
+                        at.append(k)
                         found.append((ix.keys[x[0]], *x[1:]))
                 cols = list(zip(*found)) if found else [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, b.schema.field(0).type), pa.array(cols[0], pa.int64() if kinds[1] == "bigint" else None), *(pa.array(c, pa.int32()) for c in cols[1:])],
+                    [b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0], pa.int64() if kinds[1] == "bigint" else None), *(pa.array(c, pa.int32()) for c in cols[1:])],
                     [doc_key, item_key, "matched", "first_word", "n_words"],
                 )
 
-        got = docs.select(doc_key, text).mapInArrow(scan, schema)
-        out = got if out is None else out.unionByName(got)
+        # a small table, but each row of it is work: spread it over as many tasks as a shuffle has
+        spread = seen.where("gram is null").select("key", "rule", "places", "grams", "words").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        leaked = spread.mapInArrow(compare, schema)
+        out = leaked if out is None else out.unionByName(leaked)
     return out if out is not None else spark.createDataFrame([], schema)

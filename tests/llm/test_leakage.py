@@ -97,3 +97,26 @@ def test_alignment_against_plain_table():
 def test_words():
     assert words("Don’t <b>stop</b>, lamp-\nlighting É1") == ["dont", "stop", "lamplighting", "e1"]
     assert words("码头Zoë低") == ["码", "头", "zoe", "低"] and words(None) == []
+
+
+def test_items_of_any_length(spark):
+    """Passages far into an item of 6,000 words, and a document of many times a passage's length."""
+    rng = random.Random(11)
+    item = rng.choices(VOC, k=6000)
+    docs = [(0, " ".join(item[5000:5060])), (1, " ".join(item[100:160])), (2, " ".join(rng.choices(VOC, k=9000) + item[2000:2040] + rng.choices(VOC, k=900))), (3, " ".join(item[5000:5019])), (4, " ".join(item))]
+    df, it = spark.createDataFrame(docs, "doc bigint, text string"), spark.createDataFrame([(7, " ".join(item))], "item bigint, text string")
+    got = {r.doc: (r.matched, r.first_word, r.n_words) for r in find_leaks(spark, df, "doc", "text", it, "item", "text").collect()}
+    assert got == {0: (60, 0, 60), 1: (60, 0, 60), 2: (40, 9000, 40), 4: (6000, 0, 6000)}
+
+
+def test_many_items_in_blocks(spark, monkeypatch):
+    from inkframe.llm import leakage
+
+    rng = random.Random(12)
+    items = [(i - 2500, " ".join(rng.choices(VOC, k=60))) for i in range(5000)]
+    docs = [(d, " ".join(rng.choices(VOC, k=10)) + " " + " ".join(t.split()[10:50])) for d, (_, t) in enumerate(items[::250])]
+    df, it = spark.createDataFrame(docs, "doc bigint, text string"), spark.createDataFrame(items, "item bigint, text string")
+    truth = {(d, i) for d, (i, _) in enumerate(items[::250])}
+    for block in (leakage.BLOCK, 700_000):
+        monkeypatch.setattr(leakage, "BLOCK", block)
+        assert {(r.doc, r.item) for r in find_leaks(spark, df, "doc", "text", it, "item", "text").collect()} == truth
