@@ -188,42 +188,59 @@ class Index:
 
     def compare(self, rule: Rule, pos: np.ndarray, at: np.ndarray, ids: np.ndarray) -> list[tuple[int, int, int, int]]:
         """The same from a document's hits."""
+        return [x[1:] for x in self.compare_many(rule, [pos], [at], [ids])]
+
+    def compare_many(self, rule: Rule, poss: list[np.ndarray], ats: list[np.ndarray], words: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
+        """(document, item, matched, first word, length) of several documents from their hits."""
         _, ends, flat, seed, rare = self.by_rule[rule]
-        first = at[seed[at]]
-        if len(pos) < rule.share or not len(first):
-            return []
-        # items that share a seed with the document
-        wanted = np.zeros(len(self.items), dtype=bool)
-        wanted[flat[_ranges(ends[first], ends[first + 1]), 0]] = True
+        n_items = len(self.items)
+        # as many documents at once as a table of documents by items stays small for
+        many = max(1, min(256, (1 << 24) // max(1, n_items)))
+        if len(poss) > many:
+            return [
+                (lo + d, *x) for lo in range(0, len(poss), many)
+                for d, *x in self.compare_many(rule, poss[lo : lo + many], ats[lo : lo + many], words[lo : lo + many])
+            ]
+        pos, at = np.concatenate(poss), np.concatenate(ats)
+        base = np.repeat(np.arange(len(poss)), [len(x) for x in poss]) * n_items
+        # pairs of a document and an item that share a seed
+        wanted = np.zeros(len(poss) * n_items, dtype=bool)
+        first, of = at[seed[at]], base[seed[at]]
+        wanted[np.repeat(of, ends[first + 1] - ends[first]) + flat[_ranges(ends[first], ends[first + 1]), 0]] = True
         n = ends[at + 1] - ends[at]
         rows = _ranges(ends[at], ends[at + 1])
-        item = flat[rows, 0]
-        keep = wanted[item]
+        pair = np.repeat(base, n) + flat[rows, 0]
         # and so many n-grams at all
-        total = np.bincount(item[keep], minlength=len(self.items))
-        keep &= total[item] >= rule.share
-        if not keep.any():
+        total = np.where(wanted, np.bincount(pair, minlength=len(wanted)), 0)
+        keep = np.flatnonzero(total[pair] >= rule.share)
+        if not len(keep):
             return []
-        names = np.flatnonzero(total >= rule.share)
-        local, ipos = np.searchsorted(names, item[keep]), flat[rows, 1][keep]
-        dpos, told = np.repeat(pos, n)[keep], np.repeat(rare[at], n)[keep]
+        pairs = np.flatnonzero(total >= rule.share)
+        local, ipos = np.searchsorted(pairs, pair[keep]), flat[rows[keep], 1]
+        hit = np.repeat(np.arange(len(at)), n)[keep]
+        dpos, told = pos[hit], rare[at[hit]]
         longest, out, done = int(ipos.max()) + 1, [], set()
         diag = dpos - ipos + longest
         for shift in (0, 1 << (rule.band - 1)):
             band = (diag + shift) >> rule.band
             group = local * (int(band.max()) + 1) + band
-            key = np.unique(group * longest + ipos)
+            key = np.sort(group * longest + ipos)
+            key = key[np.concatenate([[True], key[1:] != key[:-1]])]
             # so many of an item's n-grams within a passage's length, on one band
             if len(key) < rule.share:
                 continue
             k = rule.share - 1
             lo, hi = key[: len(key) - k], key[k:]
-            for g in np.unique((lo // longest)[(hi - lo < rule.among) & (lo // longest == hi // longest)]).tolist():
-                mine = group == g
-                i = int(names[local[mine][0]])
-                if i not in done and (found := self._align(rule, i, dpos[mine], ipos[mine], ids, dpos[(local == local[mine][0]) & told])):
-                    done.add(i)
-                    out.append((i, *found))
+            near = lo[hi - lo < rule.among] // longest
+            for g in np.unique(near[near == hi[hi - lo < rule.among] // longest]).tolist():
+                mine = np.flatnonzero(group == g)
+                one = int(local[mine[0]])
+                if one in done:
+                    continue
+                doc, item = divmod(int(pairs[one]), n_items)
+                if found := self._align(rule, item, dpos[mine], ipos[mine], words[doc], dpos[(local == one) & told]):
+                    done.add(one)
+                    out.append((doc, item, *found))
         return out
 
     def _align(self, rule: Rule, i: int, dpos: np.ndarray, ipos: np.ndarray, ids: np.ndarray, told: np.ndarray) -> tuple[int, int, int] | None:
@@ -426,10 +443,14 @@ def find_leaks(spark: SparkSession, docs: DataFrame, doc_key: str, text: str, it
             ix, whole = shared.value, lambda x: np.frombuffer(x, dtype=np.int32).astype(np.int64)
             for b in batches:
                 at, found = [], []
-                for k, (r, p, g, w) in enumerate(zip(*(b.column(c).to_pylist() for c in (1, 2, 3, 4)))):
-                    for x in ix.compare(RULES[r], whole(p), whole(g), whole(w)):
-                        at.append(k)
-                        found.append((ix.keys[x[0]], *x[1:]))
+                rules = b.column(1).to_numpy()
+                for r, rule in enumerate(RULES):
+                    mine = np.flatnonzero(rules == r)
+                    if len(mine):
+                        parts = [[whole(x) for x in b.column(c).take(pa.array(mine)).to_pylist()] for c in (2, 3, 4)]
+                        for d, i, *x in ix.compare_many(rule, *parts):
+                            at.append(int(mine[d]))
+                            found.append((ix.keys[i], *x))
                 cols = list(zip(*found)) if found else [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(at, pa.int64())), pa.array(cols[0], pa.int64() if kinds[1] == "bigint" else None), *(pa.array(c, pa.int32()) for c in cols[1:])],
