@@ -72,8 +72,10 @@ RARE_DOCS, RARE_SHARE = 10, 0.001
 CLOSE = 0.84
 
 _MARKUP = re.compile(r"<[^<>\n]{1,80}>|&(?:[a-z]{2,8}|#\d{1,6});", re.IGNORECASE)
-_JOINT = re.compile(r"(?<=\w)(?:[’'‘ʼ­]|[-‐‑](?:[ \t]*\n)?)(?=\w)")
+# what stands between letters comes first in the pattern, so that few places are looked at
+_JOINT = re.compile(r"(?:[’'‘ʼ­](?<=\w[’'‘ʼ­])|[-‐‑](?<=\w[-‐‑])(?:[ \t]*\n)?)(?=\w)")
 _TOKEN = re.compile(r"[㐀-䶿一-鿿豈-﫿]|[^\W_㐀-䶿一-鿿豈-﫿]+")
+_PLAIN = re.compile(r"[^\W_]+")
 _ACCENTS = re.compile("[\u0300-\u036f\u0483-\u0487\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
 _HAN = re.compile(r"[㐀-䶿一-鿿]")
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -82,10 +84,14 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 def words(text: str | None) -> list[str]:
     if not text:
         return []
-    t = _JOINT.sub("", _MARKUP.sub(" " if _HAN.search(text) is None else "", text))
+    han = _HAN.search(text) is not None
+    t = _JOINT.sub("", _MARKUP.sub("" if han else " ", text))
     if not t.isascii():
-        t = _ACCENTS.sub("", unicodedata.normalize("NFKD", t))
-    return _TOKEN.findall(t.casefold())
+        plain = unicodedata.normalize("NFKD", t)
+        t = _ACCENTS.sub("", plain)
+        # compatibility forms of ideographs may come up only here
+        han = han or _HAN.search(t) is not None
+    return (_TOKEN if han else _PLAIN).findall(t.casefold())
 
 
 def _grams(ids: np.ndarray, n: int) -> np.ndarray:
