@@ -8,6 +8,10 @@ the cost of a stretch is the rarity of its characters in their company, by count
 neighbouring characters over the whole corpus. Garbled pairs are rare and what they stand for is
 common; unusual but right characters either do not round-trip or become rarer.
 
+Only shares of the corpus count, not its size, and what has the shape of UTF-8 read as something else is
+left out of the counts, so garbling is not made usual by being frequent. A whole batch is screened at
+once; only texts with something rare or of such a shape are looked at word by word.
+
 Texts with a replacement character (U+FFFD) or C1 control characters hold a wrongly decoded sequence
 whatever can be made of it; so do texts with what became of these when they were written as UTF-8 and
 read as something else.
@@ -25,66 +29,125 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkframe.scratch import Scratch
+
 # Encodings that texts are wrongly read as, and those that they were written in.
 READ_AS = ["cp1252", "latin-1", "cp437", "mac_roman", "cp1251", "cp1250", "cp850", "koi8-r", "cp866", "iso8859-2", "gb18030", "big5", "cp932"]
-WRITTEN_IN = ["gb18030", "cp1252", "cp1251", "koi8-r", "cp1250", "iso8859-2", "mac_roman", "cp437", "cp850", "cp866", "cp932", "big5"]
+WRITTEN_IN = ["gb18030", "cp1252", "cp1251", "koi8-r", "cp1250", "iso8859-2", "mac_roman", "cp437", "cp850", "cp866", "cp932", "big5", "cp949", "euc_jp"]
 
 #: Least drop of the cost, in bits a pair of characters, for a step to count; and over a stretch.
 DROP, TOTAL = 2.0, 9.0
 #: A word is tried if it has a pair of characters of so many bits.
 ASK = 11.5
-#: Most layers that are undone.
-LAYERS = 3
+#: Share of the pairs that an unseen one is taken to have: 18 bits, whatever the size of the corpus.
+UNSEEN = 2.0**-18
+#: Pairs of a smaller share than this are left out of the model: at most 2^22 remain, and a cost moves by
+#: no more than log2(1 + 2^-4) = 0.09 bits.
+LEAST_SHARE = 2.0**-22
+#: Layers of lost bytes that are listed beforehand; those below more layers appear as these are undone.
+LOSS_LAYERS = 3
 
 _HAN = 0x4E00
 _SURE = re.compile("[�\x80-\x84\x86-\x9f]")
 _TOKEN = re.compile(r"[^\x00-\x20]*[^\x00-\x7f][^\x00-\x20]*")
+#: Texts that may be garbled, as a pattern of SQL: not ASCII, or ASCII that carries other characters
+#: (escapes of ISO 2022, HZ, UTF-7).
+MAYBE = r"[^\x00-\x7F]|\x1B[$(]|~\{|\+[A-Za-z0-9+/]{3,}-"
 
 
 def _is_han(c: np.ndarray) -> np.ndarray:
     return ((c >= 0x3400) & (c <= 0x9FFF)) | ((c >= 0xF900) & (c <= 0xFAFF)) | ((c >= 0xAC00) & (c <= 0xD7A3))
 
 
-def count_pairs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _is_han1(c: int) -> bool:
+    return 0x3400 <= c <= 0x9FFF or 0xF900 <= c <= 0xFAFF or 0xAC00 <= c <= 0xD7A3
+
+
+def count_pairs(texts: list[str], shapes: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(pair codes, counts): neighbouring characters of which one is not ASCII, blanks and digits
-    folded, ideographs as one class in pairs and counted singly (with 0 as their neighbour)."""
+    folded, ideographs as one class in pairs and counted singly (with 0 as their neighbour). Without
+    `shapes`, what may be UTF-8 that was read in a single-byte encoding is left out."""
     c = np.frombuffer("\n".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
     if not len(c):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    odd = np.zeros(len(c), dtype=bool) if shapes else _shaped(c)
     c = _fold(c)
     han = _is_han(c)
     f = np.where(han, _HAN, c)
-    far = (f[:-1] > 127) | (f[1:] > 127)
+    far = ((f[:-1] > 127) | (f[1:] > 127)) & ~odd[:-1] & ~odd[1:]
     both = han[:-1] & han[1:]
     pairs = (f[:-1] << 21 | f[1:])[far & ~both]
     return np.unique(np.concatenate([pairs, c[han]]), return_counts=True)
 
 
+def _shaped(c: np.ndarray) -> np.ndarray:
+    """Which characters belong to a sequence of the shape of UTF-8 in some single-byte encoding. In cp866
+    small Cyrillic letters alone have that shape: these are words."""
+    lead2, lead3, lead4, tail, _ = _classes()
+    low, n = np.minimum(c, 0xFFFF), len(c)
+    goes_on = tail[low]
+    odd = np.zeros(n, dtype=bool)
+    for lead, k in ((lead2, 1), (lead3, 2), (lead4, 3)):
+        if n > k:
+            fits = lead[low[: n - k]]
+            for j in range(1, k + 1):
+                fits = fits & goes_on[j : n - k + j]
+            at = np.flatnonzero(fits)
+            at = at[~np.logical_and.reduce([(c[at + j] >= 0x430) & (c[at + j] <= 0x451) for j in range(k + 1)])]
+            for j in range(k + 1):
+                odd[at + j] = True
+    return odd
+
+
 def _fold(c: np.ndarray) -> np.ndarray:
     c = np.where((c >= 48) & (c <= 57), 48, c)
     return np.where((c <= 32) | (c == 0xA0) | (c == 0x3000) | ((c >= 0x2000) & (c <= 0x200A)), 32, c)
 
 
 class Rarity:
-    """Bits of surprise of neighbouring characters, from counts over the corpus."""
-
-    def __init__(self, counts: dict[int, int]):
-        self.counts = counts
-        self.pairs = math.log2(1 + sum(n for k, n in counts.items() if k >= 1 << 21))
-        self.hans = math.log2(1 + sum(n for k, n in counts.items() if k < 1 << 21))
+    """Bits of surprise of neighbouring characters, from their shares in the corpus."""
+
+    def __init__(self, counts: dict[int, int] | tuple[np.ndarray, np.ndarray]):
+        if isinstance(counts, dict):
+            counts = np.array(list(counts), dtype=np.int64), np.array(list(counts.values()), dtype=np.float64)
+        order = np.argsort(counts[0])
+        self.codes, n = counts[0][order], np.asarray(counts[1], dtype=np.float64)[order]
+        far = self.codes >= 1 << 21
+        total = np.where(far, n[far].sum(), n[~far].sum())
+        self.rare = -math.log2(UNSEEN)
+        self.costs = -np.log2(n / np.maximum(total, 1) + UNSEEN)
         self.memo: dict[tuple[int, int], float] = {}
 
+    def look_up(self, codes: np.ndarray) -> np.ndarray:
+        if not len(self.codes):
+            return np.full(len(codes), self.rare)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.costs[at], self.rare)
+
+    def all_bits(self, c: np.ndarray) -> np.ndarray:
+        """Bits of each character of a folded text with the one after it; 0 between ASCII characters."""
+        out = np.zeros(max(0, len(c) - 1))
+        at = np.flatnonzero((c[:-1] > 127) | (c[1:] > 127))
+        a, b = c[at], c[at + 1]
+        ha, hb = _is_han(a), _is_han(b)
+        both, meet = ha & hb, ha != hb
+        x = self.look_up(np.where(both, b, np.where(ha, _HAN, a) << 21 | np.where(hb, _HAN, b)))
+        # where scripts meet, the ideograph counts too: a rare one does not belong there
+        out[at] = np.where(meet, np.maximum(x, self.look_up(np.where(ha, a, b))), x)
+        return out
+
+    def _one(self, code: int) -> float:
+        at = int(self.codes.searchsorted(code))
+        return float(self.costs[at]) if at < len(self.codes) and self.codes[at] == code else self.rare
+
     def bits(self, a: int, b: int) -> float:
-        ha, hb = 0x3400 <= a <= 0x9FFF or 0xF900 <= a <= 0xFAFF, 0x3400 <= b <= 0x9FFF or 0xF900 <= b <= 0xFAFF
-        key = b if ha and hb else ((_HAN if ha else a) << 21) | (_HAN if hb else b)
         if (x := self.memo.get((a, b))) is None:
-            n = self.counts.get(key, 0)
-            x = (self.hans if ha and hb else self.pairs) - math.log2(n + 0.25)
-            if ha != hb:
-                # where scripts meet, the ideograph counts too: a rare one does not belong there
-                x = max(x, self.hans - math.log2(self.counts.get(a if ha else b, 0) + 0.25))
             if len(self.memo) > 500_000:
                 self.memo.clear()
+            ha, hb = _is_han1(a), _is_han1(b)
+            x = self._one(b if ha and hb else (_HAN if ha else a) << 21 | (_HAN if hb else b))
+            if ha != hb:
+                x = max(x, self._one(a if ha else b))
             self.memo[(a, b)] = x
         return x
 
@@ -198,9 +261,10 @@ def _utf8_runs(text: str, codec: str) -> list[tuple[int, int, str]]:
 
 
 def _deeper(good: str) -> list[str]:
-    """What a repaired stretch would be with further layers undone, each as a whole."""
+    """What a repaired stretch would be with further layers undone, each as a whole; every layer is
+    shorter than the one before."""
     out, front = [good], [good]
-    for _ in range(LAYERS - 1):
+    while front:
         nxt = []
         for g in front:
             for codec in READ_AS:
@@ -229,7 +293,14 @@ def _drop(r: Rarity, text: str, lo: int, hi: int, good: str) -> tuple[float, flo
 def _undo_utf8(text: str, r: Rarity) -> str:
     """Sequences of UTF-8 that were read as something else, the best reading for each place."""
     offers: list[tuple[float, int, int, str]] = []
+    han = _HANS.search(text) is not None
+    shaped = _any_shape().search(text) is not None
     for codec in READ_AS:
+        if codec not in _WIDE and not shaped:
+            continue
+        # single-byte encodings have no ideographs, the others are known by them
+        if codec in _WIDE and not han and not _KANA.search(text):
+            continue
         for lo, hi, first in _utf8_runs(text, codec):
             best = max(((*_drop(r, text, lo, hi, g), g) for g in _deeper(first)), key=lambda x: x[0])
             if best[0] >= DROP and best[1] >= TOTAL:
@@ -257,7 +328,7 @@ _DOUBT = {"cp1252", "cp1250", "cp1251"}
 
 @lru_cache(1)
 def _losses():
-    """Automaton of what U+FFFD and C1 controls become in up to `LAYERS` rounds of UTF-8 read as a
+    """Automaton of what U+FFFD and C1 controls become in up to `LOSS_LAYERS` rounds of UTF-8 read as a
     single-byte encoding; the value is (length, whether it counts only by its neighbours)."""
     import ahocorasick
 
@@ -268,7 +339,7 @@ def _losses():
     a, sure, front = ahocorasick.Automaton(), set(), {"�", *map(chr, range(0x80, 0xA0))} - {"\x85"}
     doubt: set[str] = set()
     single = [c for c in READ_AS if c not in _WIDE]
-    for layer in range(LAYERS):
+    for layer in range(LOSS_LAYERS):
         nxt = set()
         for t in front:
             for codec in single:
@@ -308,7 +379,9 @@ def _lost(text: str) -> bool:
 
 
 _RUN = re.compile(r"[^\x00-\x7f]+(?:[a-zA-Z]*[^\x00-\x7f]+)*")
-_HANS = re.compile(r"[\u3400-\u9fff]")
+_HANS = re.compile(r"[\u3400-\u9fff\uac00-\ud7a3]")
+_KANA = re.compile(r"[\u0370-\u04ff\u2500-\u257f\u3040-\u30ff\uff00-\uffef\ue000-\uf8ff]")
+_EAST = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7a3]")
 # what a word may look like: letters of one script, apostrophes and hyphens between them, quotes around
 _EDGE = "\"'“”„«»‘’‚‹›¡¿(),.;:!?…—–-"
 _BREAK = re.compile("[—–…/,.:;!?\"“”„«»()]+")
@@ -319,6 +392,7 @@ _WORDS = [
 _CASED = re.compile(r"[a-zß-öø-ÿа-яё][A-ZÀ-ÖØ-ÞА-ЯЁ]")
 
 
+@lru_cache(200_000)
 def _sane(word: str) -> bool:
     return all(any(w.fullmatch(x) for w in _WORDS) for x in (p.strip(_EDGE) for p in _BREAK.split(word)) if x)
 
@@ -343,51 +417,134 @@ def _reread(run: str, codec: str, true: str) -> str | None:
     return None if good == run or _SURE.search(good) else good
 
 
-def _undo_legacy(text: str, r: Rarity, worst) -> str:
-    """Text written in one legacy encoding and read as another: one pair of them for the whole text,
-    chosen by the words that it makes sane; places that tell nothing alone follow it."""
-    told = [
-        (lo, run) for lo, run in _parts(text, None)
-        if worst(run) > ASK and not _mixed(run) and (not _sane(run) or sum(c > "\x7f" for c in run) > 2) and any(c.isalpha() for c in run)
-    ]
-    best, chosen = TOTAL, None
-    # read in an encoding of several bytes a character, legacy text loses its shape: only UTF-8 comes back
+@lru_cache(200_000)
+def _reread_word(run: str, codec: str, true: str) -> str | None:
+    return _reread(run, codec, true)
+
+
+@lru_cache(200_000)
+def _readings(run: str) -> tuple[tuple[tuple[str, str], str, bool], ...]:
+    """Sane words that a word may stand for, by the encodings it was read as and written in, and whether
+    its script changes throughout."""
+    far, sane, out = {c for c in run if c > "\x7f"}, _sane(run), []
     for codec in READ_AS[:-3]:
-        table = _back(codec)
-        seen = {
-            False: [(lo, run) for lo, run in told if all(c in table or c < "\x80" for c in run)],
-            True: [(lo, run) for lo, run in _parts(text, codec) if len(run) > 5],
-        }
-        if not seen[False] and not seen[True]:
-            continue
-        for true in WRITTEN_IN:
-            if true == codec:
-                continue
-            gain, wide = 0.0, true in _WIDE
-            for lo, run in seen[wide]:
-                if (good := _reread(run, codec, true)) is None:
-                    continue
-                if wide:
-                    if _HANS.search(run) or len(_HANS.findall(good)) < 3:
-                        continue
-                elif not _sane(good) or not (_foreign(run, good) if _sane(run) else re.search(r"\w\w", good)):
-                    continue
+        if far <= _back(codec).keys():
+            for true in WRITTEN_IN:
+                if true != codec and true not in _EASTERN and (good := _reread(run, codec, true)) is not None:
+                    foreign = _foreign(run, good)
+                    if _sane(good) and (foreign if sane else re.search(r"\w\w", good)):
+                        out.append(((codec, true), good, foreign))
+    return tuple(out)
+
+
+@lru_cache(200_000)
+def _strange(run: str) -> bool:
+    """Whether a word with a rare pair may be one of another encoding."""
+    return not _HANS.search(run) and not _mixed(run) and (not _sane(run) or sum(c > "\x7f" for c in run) > 2) and any(c.isalpha() for c in run)
+
+
+def _undo_legacy(text: str, r: Rarity, rare: np.ndarray) -> str:
+    """Text written in one legacy encoding and read as another: one pair of them for the whole text,
+    chosen by the words that it makes sane; places that tell nothing alone follow it. `rare` has the
+    places of rare pairs."""
+    gains: dict[tuple[str, str], float] = {}
+    for lo, run in _parts(text, None):
+        if _any_in(rare, lo - 1, lo + len(run)) and _strange(run):
+            for pair, good, foreign in _readings(run):
                 drop, total, mean = _drop(r, text, lo, lo + len(run), good)
-                if mean <= 11 and drop >= (2 if not wide and _foreign(run, good) else 3):
-                    gain += total
+                if mean <= 11 and drop >= (2 if foreign else 3):
+                    gains[pair] = gains.get(pair, 0.0) + total
+    # ideographs read in a single-byte encoding give long stretches of its upper half
+    for codec in READ_AS[:-3] if _LONG.search(text) else ():
+        for lo, run in _parts(text, codec):
+            if len(run) > 3 and (not _sane(run) or (len(run) > 5 and _any_in(rare, lo - 1, lo + len(run)))):
+                for true in _EASTERN:
+                    good = _reread_word(run, codec, true)
+                    if good is not None and len(_EAST.findall(good)) >= min(3, len(run) // 2):
+                        drop, total, _ = _drop(r, text, lo, lo + len(run), good)
+                        # what stands around says nothing about ideographs
+                        bits, n = r.cost(good)
+                        if bits <= 11 * n and drop >= 3:
+                            gains[codec, true] = gains.get((codec, true), 0.0) + total
+    best = max(gains.values(), default=0.0)
+    chosen = next((p for p in ((c, t) for c in READ_AS for t in WRITTEN_IN) if gains.get(p) == best), None) if best > TOTAL else None
+    if chosen is None:
+        return _undo_eastern(text, r)
+    out, at = [], 0
+    for lo, run in _parts(text, chosen[0] if chosen[1] in _EASTERN else None):
+        good = None if _mixed(run) else _reread(run, *chosen)
+        if good is not None and _drop(r, text, lo, lo + len(run), good)[0] > 0:
+            out += [text[at:lo], good]
+            at = lo + len(run)
+    return "".join([*out, text[at:]])
+
+
+_EASTERN = ("gb18030", "big5", "cp932", "cp949", "euc_jp")
+_LONG = re.compile(r"[^\x00-\x7f\u2e80-\uffff]{4,}")
+
+
+def _any_in(places: np.ndarray, lo: int, hi: int) -> bool:
+    at = int(places.searchsorted(lo))
+    return at < len(places) and places[at] < hi
+
+
+_FAR_RUN = re.compile(r"[^\x00-\x7f\u2010-\u2027]{4,}")
+
+
+def _undo_eastern(text: str, r: Rarity) -> str:
+    """Text written in one encoding of several bytes a character and read as another: stretches of
+    ideographs that cost far more than those they stand for."""
+    runs = [(m.start(), m.group()) for m in _FAR_RUN.finditer(text) if _EAST.search(m.group())]
+    told = [(lo, run) for lo, run in runs if (x := r.cost(run))[0] > 13 * x[1]]
+    best, chosen = 3 * TOTAL, None
+    for codec in _WIDE if told else ():
+        for true in _EASTERN:
+            gain = 0.0
+            for lo, run in told:
+                if true != codec and (good := _reread_word(run, codec, true)) is not None and len(_EAST.findall(good)) >= len(good) // 2:
+                    drop, total, mean = _drop(r, text, lo, lo + len(run), good)
+                    if mean <= 11 and drop >= 3:
+                        gain += total
             if gain > best:
                 best, chosen = gain, (codec, true)
     if chosen is None:
         return text
     out, at = [], 0
-    for lo, run in _parts(text, chosen[0] if chosen[1] in _WIDE else None):
-        good = None if _mixed(run) else _reread(run, *chosen)
+    for lo, run in runs:
+        good = _reread(run, *chosen)
         if good is not None and _drop(r, text, lo, lo + len(run), good)[0] > 0:
             out += [text[at:lo], good]
             at = lo + len(run)
     return "".join([*out, text[at:]])
 
 
+_CARRIED = [
+    (re.compile(r"\x1b\$[@B][\x21-\x7e]+(?:\x1b\([BJ])?"), "iso2022_jp"),
+    (re.compile(r"\x1b\$\)C[\x0e\x0f\x20-\x7e]+"), "iso2022_kr"),
+    (re.compile(r"~\{(?:[\x21-\x7d][\x21-\x7e])+~\}"), "hz"),
+    (re.compile(r"\+[A-Za-z0-9+/]{3,}-"), "utf-7"),
+]
+
+
+def _undo_carried(text: str, r: Rarity) -> str:
+    """Other characters that ASCII carries: escapes of ISO 2022, HZ, UTF-7; the last only where it gives
+    characters that are usual in the corpus."""
+    for pattern, codec in _CARRIED:
+
+        def one(m: re.Match) -> str:
+            try:
+                good = m.group().encode().decode(codec)
+            except UnicodeDecodeError:
+                return m.group()
+            if good == m.group() or any(c <= "\x7f" for c in good) or _SURE.search(good):
+                return m.group()
+            bits, n = r.cost(f" {good} ")
+            return good if codec != "utf-7" or bits <= 11 * n else m.group()
+
+        text = pattern.sub(one, text)
+    return text
+
+
 def _mixed(run: str) -> bool:
     """Cyrillic letters in a word of Latin ones: look-alikes, which no encoding puts there."""
     return any("\u0400" <= c <= "\u04ff" for c in run) and any("a" <= c <= "z" for c in run.lower())
@@ -401,6 +558,21 @@ def _foreign(run: str, good: str) -> bool:
     return len(cyr) >= 3 and len(cyr) == len(far) and not any("a" <= c.lower() <= "z" for c in run)
 
 
+@lru_cache(1)
+def _classes() -> tuple[np.ndarray, ...]:
+    """For each character the single-byte encodings, as bits, in which it is the lead of a sequence of
+    UTF-8 of 2, 3 or 4 bytes, or a byte that goes on with one; and whether it alone calls for a look."""
+    lead2, lead3, lead4, tail = (np.zeros(1 << 16, dtype=np.uint32) for _ in range(4))
+    for k, codec in enumerate(READ_AS):
+        for ch, b in _back(codec).items():
+            for table, lo, hi in ((lead2, 0xC2, 0xDF), (lead3, 0xE0, 0xEF), (lead4, 0xF0, 0xF4), (tail, 0x80, 0xBF)):
+                if lo <= b[0] <= hi:
+                    table[ord(ch)] |= np.uint32(1 << k)
+    sure = np.zeros(1 << 16, dtype=bool)
+    sure[[0xFFFD, *range(0x80, 0x85), *range(0x86, 0xA0), *map(ord, "锟拷嚙踝蕭")]] = True
+    return lead2, lead3, lead4, tail, sure
+
+
 class Repair:
     def __init__(self, rarity: Rarity):
         self.rarity = rarity
@@ -410,16 +582,29 @@ class Repair:
         if (got := self.memo.get(t)) is not None:
             return got
         out = t
-        for _ in range(LAYERS):
-            nxt = _undo_utf8(out, self.rarity)
-            if nxt == out:
-                break
+        # every step takes a layer off some sequence, which shortens the text
+        while (nxt := _undo_utf8(out, self.rarity)) != out:
             out = nxt
         if len(self.memo) > 200_000:
             self.memo.clear()
         self.memo[t] = out
         return out
 
+    def places(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text the places that call for a look (a rare pair, a sequence of the shape of UTF-8 read
+        in a single-byte encoding, what lost bytes become), and those of rare pairs alone."""
+        raw = np.frombuffer("\n".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        c = _fold(raw)
+        c[raw == 0xAD] = 32
+        rare = np.flatnonzero(self.rarity.all_bits(c) > ASK)
+        odd = _shaped(raw) | _classes()[4][np.minimum(raw, 0xFFFF)]
+        odd[rare] = True
+        odd[np.minimum(rare + 1, len(raw) - 1)] = True
+        odd = np.flatnonzero(odd)
+        a, b = np.searchsorted(odd, starts), np.searchsorted(rare, starts)
+        return [(odd[a[k] : a[k + 1]] - starts[k], rare[b[k] : b[k + 1]] - starts[k]) for k in range(len(texts))]
+
     def worst(self, t: str) -> float:
         worst, a = 0.0, 32
         for ch in t.replace("\xad", ""):
@@ -431,31 +616,42 @@ class Repair:
 
     def text(self, text: str | None) -> tuple[bool, str | None]:
         """(whether it holds a wrongly decoded sequence, the text with what could be restored)."""
-        if not text or text.isascii():
-            return False, text
-        odd = False
-
-        def one(m: re.Match) -> str:
-            nonlocal odd
-            t = m.group()
-            # what may be UTF-8 is tried however usual its pairs are
-            if self.worst(t) <= ASK and not _SURE.search(t) and not _any_shape().search(t):
-                return t
-            odd = True
-            return self.token(t)
+        return self.texts([text])[0]
+
+    def texts(self, texts: list[str | None]) -> list[tuple[bool, str | None]]:
+        """The same for many texts."""
+        out: list[tuple[bool, str | None]] = [(False, t) for t in texts]
+        for k, t in enumerate(texts):
+            if t and ("\x1b" in t or "~{" in t or "+" in t) and (got := _undo_carried(t, self.rarity)) != t:
+                out[k] = (True, got)
+        some = [k for k, (_, t) in enumerate(out) if t and not t.isascii()]
+        if some:
+            for k, (odd, rare) in zip(some, self.places([out[k][1] for k in some])):
+                if len(odd):
+                    found, got = self._look(out[k][1], odd, rare)
+                    out[k] = (out[k][0] or found, got)
+        return out
 
-        out = _TOKEN.sub(one, text)
-        if odd and any(self.worst(m.group()) > ASK for m in _TOKEN.finditer(out)):
-            out = _undo_legacy(out, self.rarity, self.worst)
-        return out != text or _SURE.search(text) is not None or _lost(text), out
+    def _look(self, text: str, odd: np.ndarray, rare: np.ndarray) -> tuple[bool, str]:
+        out, at = [], 0
+        for m in _TOKEN.finditer(text):
+            if _any_in(odd, m.start(), m.end()) and (good := self.token(m.group())) != m.group():
+                out += [text[at : m.start()], good]
+                at = m.end()
+        good = "".join([*out, text[at:]])
+        if good != text:
+            rare = self.places([good])[0][1]
+        if len(rare):
+            good = _undo_legacy(good, self.rarity, rare)
+        return good != text or _SURE.search(text) is not None or _lost(text) or (good != text and _lost(good)), good
 
 
 def corpus_counts(texts: DataFrame, text: str) -> DataFrame:
-    """(code, n): pairs of neighbouring characters over all texts."""
+    """(code, n): pairs of neighbouring characters over all texts, without what may be garbled UTF-8."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            codes, n = count_pairs([t for t in b.column(0).to_pylist() if t])
+            codes, n = count_pairs([t for t in b.column(0).to_pylist() if t], shapes=False)
             yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], ["code", "n"])
 
     # texts of ASCII characters only have no such pairs
@@ -463,23 +659,32 @@ def corpus_counts(texts: DataFrame, text: str) -> DataFrame:
     return some.mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def model(counts: DataFrame, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, counts) of the pairs with at least `LEAST_SHARE` of all, which are at most 1 / LEAST_SHARE
+    pairs and as many single ideographs, however large the corpus."""
+    counts = scratch.save(counts)
+    far = F.col("code") >= 1 << 21
+    total = counts.agg(F.sum(F.when(far, F.col("n"))).alias("far"), F.sum(F.when(~far, F.col("n"))).alias("near")).first()
+    kept = counts.where(F.col("n") >= LEAST_SHARE * F.when(far, F.lit(total["far"] or 0)).otherwise(F.lit(total["near"] or 0))).toArrow()
+    scratch.drop(counts)
+    return kept.column("code").to_numpy(), kept.column("n").to_numpy()
+
+
 def repair_texts(spark: SparkSession, df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, garbled, restored): for each row whether it holds a wrongly decoded sequence, and its
     text with every such sequence restored that can be (lost bytes stay as they are).
 
-    Counts are taken over all rows of `df`. Null, empty and ASCII texts are not garbled and come back
-    unchanged; so do texts of unusual but right characters. Rows with equal keys are judged each by
-    their own text.
+    Counts are taken over all rows of `df`; only their shares matter. Null and empty texts are not garbled
+    and come back unchanged; so do texts of unusual but right characters, and ASCII texts but for those
+    that carry other characters (ISO 2022, HZ, UTF-7). Rows with equal keys are judged each by their own
+    text.
     """
-    # the table of pairs grows with the alphabets of the corpus, not with its size; pairs seen once or
-    # twice cost as much as unseen ones, near enough, and are left out
-    rows = corpus_counts(df, text).where("n > 2").collect()
-    shared = spark.sparkContext.broadcast({r.code: r.n for r in rows})
+    shared = spark.sparkContext.broadcast(model(corpus_counts(df, text), Scratch(spark, "pairs")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repair = Repair(Rarity(shared.value))
         for b in batches:
-            got = [repair.text(t) for t in b.column(1).to_pylist()]
+            got = repair.texts(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.bool_()), pa.array([g[1] for g in got], pa.string())], [key, "garbled", "restored"])
 
     kind = dict(df.dtypes)[key]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkframe.llm.mojibake import repair_texts
+from inkframe.llm.mojibake import MAYBE, repair_texts
 from inkframe.plans.registry import Registry
 from inkframe.scratch import table
 
@@ -13,7 +13,7 @@ R = Registry()
 
 
 def garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "paragraphs").where(F.col("text_original").rlike(r"[^\x00-\x7F]"))
+    texts = table(spark, sf_dir, "paragraphs").where(F.col("text_original").rlike(MAYBE))
     return repair_texts(spark, texts, "para_key", "text_original").where("garbled")
 
 
