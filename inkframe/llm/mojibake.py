@@ -151,6 +151,11 @@ class Rarity:
             self.memo[(a, b)] = x
         return x
 
+    def worst(self, text: str, lo: int, hi: int) -> float:
+        """Most bits of a pair in text[lo:hi], with blanks around the text."""
+        c = [_fold1(ord(x)) for x in (text if lo >= 0 else " " + text[:hi])[max(0, lo) : hi - min(0, lo)]] + ([32] if hi > len(text) else [])
+        return max((self.bits(a, b) for a, b in zip(c, c[1:]) if a > 127 or b > 127), default=0.0)
+
     def cost(self, text: str) -> tuple[float, int]:
         """Bits and pairs of a stretch in its setting, pairs of ASCII characters left out."""
         total, n, a = 0.0, 0, None
@@ -237,29 +242,34 @@ def _utf8_runs(text: str, codec: str) -> list[tuple[int, int, str]]:
             except UnicodeDecodeError:
                 continue
         return found
-    for part in re.finditer(r"[^\x00-\x7f]+", text):
-        if not _UTF8.search(part.group().encode(codec, "replace")):
-            continue
-        raw, at = bytearray(), []
-        for j in range(part.start(), part.end() + 1):
-            try:
-                b = text[j].encode(codec) if j < part.end() else None
-            except UnicodeEncodeError:
-                b = None
-            if b is not None:
-                at += [j] * len(b)
-                raw += b
-                continue
-            at.append(j)
-            for m in _UTF8.finditer(bytes(raw)):
-                lo, hi = at[m.start()], at[m.end()]
-                if (m.start() and at[m.start() - 1] == lo) or (m.end() < len(raw) and at[m.end() - 1] == hi):
-                    continue  # it would cut a character of the text in two
-                found.append((lo, hi, m.group().decode("utf-8")))
-            raw, at = bytearray(), []
+    for part in _BEYOND.finditer(text):
+        raw = part.group().encode(codec, "replace")
+        ends = None
+        for m in _UTF8.finditer(raw):
+            if ends is None:
+                c = np.frombuffer(part.group().encode("utf-32-le", "replace"), dtype=np.uint32)
+                ends = np.concatenate([[0], np.cumsum(_widths(codec)[np.minimum(c, 0x10000)])])
+            lo, hi = int(ends.searchsorted(m.start())), int(ends.searchsorted(m.end()))
+            # it must not cut a character of the text in two
+            if ends[lo] == m.start() and ends[hi] == m.end():
+                found.append((part.start() + lo, part.start() + hi, m.group().decode("utf-8")))
     return found
 
 
+_BEYOND = re.compile(r"[^\x00-\x7f]+")
+
+
+@lru_cache(None)
+def _widths(codec: str) -> np.ndarray:
+    """Bytes of each character of the basic plane; the last entry stands for all others. What an encoding
+    lacks is a question mark."""
+    out = np.ones(0x10001, dtype=np.int64)
+    for c in range(0x80, 0x10000):
+        out[c] = len(chr(c).encode(codec, "replace"))
+    out[0x10000] = len("\U0001f600".encode(codec, "replace"))
+    return out
+
+
 def _deeper(good: str) -> list[str]:
     """What a repaired stretch would be with further layers undone, each as a whole; every layer is
     shorter than the one before."""
@@ -302,6 +312,9 @@ def _undo_utf8(text: str, r: Rarity) -> str:
         if codec in _WIDE and not han and not _KANA.search(text):
             continue
         for lo, hi, first in _utf8_runs(text, codec):
+            # by chance every other ideograph has such a shape: one of its pairs must be rare
+            if codec in _WIDE and r.worst(text, lo - 1, hi + 1) <= ASK:
+                continue
             best = max(((*_drop(r, text, lo, hi, g), g) for g in _deeper(first)), key=lambda x: x[0])
             if best[0] >= DROP and best[1] >= TOTAL:
                 offers.append((best[0] * (hi - lo), lo, hi, best[3]))
@@ -443,29 +456,33 @@ def _strange(run: str) -> bool:
     return not _HANS.search(run) and not _mixed(run) and (not _sane(run) or sum(c > "\x7f" for c in run) > 2) and any(c.isalpha() for c in run)
 
 
-def _undo_legacy(text: str, r: Rarity, rare: np.ndarray) -> str:
+def _undo_legacy(text: str, r: Rarity, rare: list[tuple[int, int]]) -> str:
     """Text written in one legacy encoding and read as another: one pair of them for the whole text,
     chosen by the words that it makes sane; places that tell nothing alone follow it. `rare` has the
-    places of rare pairs."""
+    words with rare pairs."""
     gains: dict[tuple[str, str], float] = {}
-    for lo, run in _parts(text, None):
-        if _any_in(rare, lo - 1, lo + len(run)) and _strange(run):
+    for lo, hi in rare:
+        run = text[lo:hi]
+        if _strange(run):
             for pair, good, foreign in _readings(run):
-                drop, total, mean = _drop(r, text, lo, lo + len(run), good)
+                drop, total, mean = _drop(r, text, lo, hi, good)
                 if mean <= 11 and drop >= (2 if foreign else 3):
                     gains[pair] = gains.get(pair, 0.0) + total
     # ideographs read in a single-byte encoding give long stretches of its upper half
-    for codec in READ_AS[:-3] if _LONG.search(text) else ():
-        for lo, run in _parts(text, codec):
-            if len(run) > 3 and (not _sane(run) or (len(run) > 5 and _any_in(rare, lo - 1, lo + len(run)))):
-                for true in _EASTERN:
-                    good = _reread_word(run, codec, true)
-                    if good is not None and len(_EAST.findall(good)) >= min(3, len(run) // 2):
-                        drop, total, _ = _drop(r, text, lo, lo + len(run), good)
-                        # what stands around says nothing about ideographs
-                        bits, n = r.cost(good)
-                        if bits <= 11 * n and drop >= 3:
-                            gains[codec, true] = gains.get((codec, true), 0.0) + total
+    for m in _LONG.finditer(text):
+        if _sane(m.group()) and (len(m.group()) < 6 or not any(lo < m.end() and hi > m.start() for lo, hi in rare)):
+            continue
+        for codec in READ_AS[:-3]:
+            for at, run in _parts(m.group(), codec):
+                if len(run) > 5 or (len(run) > 3 and not _sane(run)):
+                    for true in _EASTERN:
+                        good = _reread_word(run, codec, true)
+                        if good is not None and len(_EAST.findall(good)) >= min(3, len(run) // 2):
+                            drop, total, _ = _drop(r, text, m.start() + at, m.start() + at + len(run), good)
+                            # what stands around says nothing about ideographs
+                            bits, n = r.cost(good)
+                            if bits <= 11 * n and drop >= 3:
+                                gains[codec, true] = gains.get((codec, true), 0.0) + total
     best = max(gains.values(), default=0.0)
     chosen = next((p for p in ((c, t) for c in READ_AS for t in WRITTEN_IN) if gains.get(p) == best), None) if best > TOTAL else None
     if chosen is None:
@@ -483,11 +500,6 @@ _EASTERN = ("gb18030", "big5", "cp932", "cp949", "euc_jp")
 _LONG = re.compile(r"[^\x00-\x7f\u2e80-\uffff]{4,}")
 
 
-def _any_in(places: np.ndarray, lo: int, hi: int) -> bool:
-    at = int(places.searchsorted(lo))
-    return at < len(places) and places[at] < hi
-
-
 _FAR_RUN = re.compile(r"[^\x00-\x7f\u2010-\u2027]{4,}")
 
 
@@ -590,20 +602,25 @@ class Repair:
         self.memo[t] = out
         return out
 
-    def places(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text the places that call for a look (a rare pair, a sequence of the shape of UTF-8 read
-        in a single-byte encoding, what lost bytes become), and those of rare pairs alone."""
+    def places(self, texts: list[str]) -> list[tuple[list[tuple[int, int]], list[tuple[int, int]]]]:
+        """For each text its words that call for a look (they have a rare pair, a sequence of the shape of
+        UTF-8 read in a single-byte encoding, or what lost bytes become), and those with rare pairs."""
         raw = np.frombuffer("\n".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
         starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
         c = _fold(raw)
         c[raw == 0xAD] = 32
-        rare = np.flatnonzero(self.rarity.all_bits(c) > ASK)
-        odd = _shaped(raw) | _classes()[4][np.minimum(raw, 0xFFFF)]
-        odd[rare] = True
-        odd[np.minimum(rare + 1, len(raw) - 1)] = True
-        odd = np.flatnonzero(odd)
-        a, b = np.searchsorted(odd, starts), np.searchsorted(rare, starts)
-        return [(odd[a[k] : a[k + 1]] - starts[k], rare[b[k] : b[k + 1]] - starts[k]) for k in range(len(texts))]
+        gaps = np.concatenate([[-1], np.flatnonzero(raw <= 32), [len(raw)]])
+        first = np.flatnonzero(self.rarity.all_bits(c) > ASK)
+        rare = np.zeros(len(raw), dtype=bool)
+        rare[first] = rare[np.minimum(first + 1, len(raw) - 1)] = True
+        odd = rare | _shaped(raw) | _classes()[4][np.minimum(raw, 0xFFFF)]
+        out = []
+        for flags in (odd, rare):
+            word = np.unique(np.searchsorted(gaps, np.flatnonzero(flags & (raw > 32))))
+            lo, hi = gaps[word - 1] + 1, gaps[word]
+            cut = np.searchsorted(lo, starts)
+            out.append([list(zip((lo[a:b] - s).tolist(), (hi[a:b] - s).tolist())) for a, b, s in zip(cut[:-1], cut[1:], starts)])
+        return list(zip(*out))
 
     def worst(self, t: str) -> float:
         worst, a = 0.0, 32
@@ -632,16 +649,16 @@ class Repair:
                     out[k] = (out[k][0] or found, got)
         return out
 
-    def _look(self, text: str, odd: np.ndarray, rare: np.ndarray) -> tuple[bool, str]:
+    def _look(self, text: str, odd: list[tuple[int, int]], rare: list[tuple[int, int]]) -> tuple[bool, str]:
         out, at = [], 0
-        for m in _TOKEN.finditer(text):
-            if _any_in(odd, m.start(), m.end()) and (good := self.token(m.group())) != m.group():
-                out += [text[at : m.start()], good]
-                at = m.end()
+        for lo, hi in odd:
+            if (good := self.token(text[lo:hi])) != text[lo:hi]:
+                out += [text[at:lo], good]
+                at = hi
         good = "".join([*out, text[at:]])
         if good != text:
             rare = self.places([good])[0][1]
-        if len(rare):
+        if rare:
             good = _undo_legacy(good, self.rarity, rare)
         return good != text or _SURE.search(text) is not None or _lost(text) or (good != text and _lost(good)), good
 
