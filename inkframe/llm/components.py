@@ -1,29 +1,48 @@
-"""Connected components by stripping leaves, compressing chains and contracting the core.
+"""Connected components by stripping leaves, compressing chains and solving what is left.
 
 Each round looks at the degrees of what is left of the graph:
 
-* vertices of degree one or two form paths. List ranking (pointer doubling over directed chain
+* while leaves make up a fair share of the vertices, they are stripped: each hangs on its neighbour;
+* then vertices of degree one or two form paths. List ranking (pointer doubling over directed chain
   elements) finds for each of them the end of its path in either direction; the whole path is then
   removed, and a path between two branching vertices leaves one edge behind;
-* where no such vertex is left, the core is contracted: every vertex whose first neighbour (in an
-  order hashed anew each round) is a local minimum moves into it.
+* a core of at most `CORE` edges, as counted, is solved by a disjoint-set forest in one task; a larger one
+  is contracted: every vertex whose first neighbour (in an order hashed anew each round) is a local
+  minimum moves into it, and the rounds go on.
 
-Each removed vertex keeps the surviving vertex it hangs on; pointer doubling over these links
-restores the labels in the end. All state is held in written tables, nothing is collected.
+Each removed vertex keeps the vertex it hangs on; pointer doubling over these links restores the labels in
+the end. All state is held in written tables, counts come with the writing, nothing is collected.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inkframe.scratch import Scratch
 
+#: Edges of a core that one task solves: 1 MB of them.
+CORE = 1 << 16
+#: Leaves are stripped alone while they are at least this share of the vertices.
+LEAVES = 0.25
+#: Members from which a group's name is sent to all tasks instead of its members to one: of n members there
+#: are at most n / HOT such groups.
+HOT = 100_000
+
+
+def _save(scratch: Scratch, df: DataFrame, **counts) -> tuple[DataFrame, dict]:
+    """The table as written, and counts over its rows that were taken with the writing."""
+    seen = Observation()
+    out = scratch.save(df.observe(seen, *(F.coalesce(c, F.lit(0)).alias(k) for k, c in counts.items())))
+    return out, seen.get
 
-def dense_ids(df: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
-    """Distinct rows of `keys` with a long `id` that grows with them; a range sort, no single task."""
-    ordered = df.select(*keys).distinct().orderBy(*keys)
-    return scratch.save(ordered.withColumn("id", F.monotonically_increasing_id()))
+
+def numbered(df: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """Distinct rows of `keys` with a long `id` each."""
+    return scratch.save(df.select(*keys).distinct().withColumn("id", F.monotonically_increasing_id()))
 
 
 def _degrees(edges: DataFrame) -> DataFrame:
@@ -39,6 +58,21 @@ def _distinct_edges(edges: DataFrame) -> DataFrame:
     )
 
 
+def _without(edges: DataFrame, gone: DataFrame) -> DataFrame:
+    gone = gone.select(F.col("v").alias("g"))
+    return edges.join(gone, F.col("a") == F.col("g"), "left_anti").join(gone, F.col("b") == F.col("g"), "left_anti")
+
+
+def _strip_leaves(deg: DataFrame, edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """Remove every leaf; (links of the removed, edges left and their number)."""
+    leaves = deg.where("d = 1").select("v", F.col("n1").alias("p"))
+    other = leaves.select(F.col("v").alias("o"))
+    # of two leaves that have only each other the lesser stays
+    links = leaves.join(other, F.col("p") == F.col("o"), "left").where("o is null or v > p").select("v", "p")
+    left, n = _save(scratch, _without(edges, leaves), n=F.count("*"))
+    return links, left, n["n"]
+
+
 def _rank_chains(low: DataFrame, scratch: Scratch) -> DataFrame:
     """End `t` of the walk that leaves `v` towards `w`, for each vertex of degree one or two.
 
@@ -58,38 +92,35 @@ def _rank_chains(low: DataFrame, scratch: Scratch) -> DataFrame:
         F.col("w").alias("least"),
         F.lit(False).alias("ring"),
     )
-    walk = scratch.save(walk)
-    while True:
-        left = walk.agg(F.count_if(F.col("t").isNull()).alias("open"), F.count_if(F.expr("ring and t = v")).alias("rings")).first()
-        if left["rings"] and left["open"]:
-            # the rest of a ring whose least vertex has just come back to itself
-            old, seen = walk, walk.where("ring and t = v").select(F.col("v").alias("m")).distinct()
-            met = walk.join(seen, (F.col("least") == F.col("m")) & F.col("t").isNull(), "left")
-            walk = scratch.save(
-                met.select("v", "w", F.coalesce("t", "m").alias("t"), "pv", "pw", "least", (F.col("ring") | F.col("m").isNotNull()).alias("ring"))
-            )
-            scratch.drop(old)
-            left = walk.agg(F.count_if(F.col("t").isNull()).alias("open")).first()
-        if not left["open"]:
-            return walk
-        # every walk that has not ended goes on as far again as it has come
-        old = walk
-        nxt = walk.select(
+    tally = {"open": F.count_if(F.col("t").isNull()), "rings": F.count_if(F.expr("ring and t = v"))}
+    step, left = _save(scratch, walk, **tally)
+    ended = step.where("t is not null")
+    while left["open"]:
+        # every walk that has not ended goes on as far again as it has come; only these are written anew
+        going, round_met = step.where("t is null"), None
+        nxt = ended.unionByName(going).select(
             F.col("v").alias("pv"), F.col("w").alias("pw"), F.col("t").alias("jt"), F.col("pv").alias("jpv"),
             F.col("pw").alias("jpw"), F.col("least").alias("jl"), F.col("ring").alias("jr"),
         )
-        still = walk.where("t is null").join(nxt, ["pv", "pw"]).withColumn("least", F.least("least", "jl"))
+        if left["rings"]:
+            # the rest of a ring whose least vertex has just come back to itself
+            seen = step.where("ring and t = v").select(F.col("v").alias("m")).distinct()
+            met = going.join(seen, F.col("least") == F.col("m"), "left")
+            round_met = met.where("m is not null").select("v", "w", F.col("m").alias("t"), "pv", "pw", "least", F.lit(True).alias("ring"))
+            going = met.where("m is null").drop("m")
+        still = going.join(nxt, ["pv", "pw"]).withColumn("least", F.least("least", "jl"))
         round_ = F.col("least") == F.col("v")
         moved = still.select(
             "v", "w", F.when(round_, F.col("v")).otherwise(F.col("jt")).alias("t"), F.col("jpv").alias("pv"), F.col("jpw").alias("pw"), "least",
             (round_ | F.col("jr")).alias("ring"),
         )
-        walk = scratch.save(walk.where("t is not null").unionByName(moved))
-        scratch.drop(old)
+        step, left = _save(scratch, moved if round_met is None else moved.unionByName(round_met), **tally)
+        ended = ended.unionByName(step.where("t is not null"))
+    return ended
 
 
-def _strip(deg: DataFrame, edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """Remove every path of vertices of degree one or two; (links of the removed, edges left)."""
+def _strip_chains(deg: DataFrame, edges: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """Remove every path of vertices of degree one or two; (links of the removed, edges left and their number)."""
     low = deg.where("d <= 2")
     walk = _rank_chains(low, scratch)
     ends = walk.groupBy("v").agg(F.min("t").alias("t1"), F.max("t").alias("t2"), F.count("*").alias("d"), F.max("ring").alias("ring"))
@@ -111,15 +142,36 @@ def _strip(deg: DataFrame, edges: DataFrame, scratch: Scratch) -> tuple[DataFram
     links = e.select("v", anchor.alias("p")).where("v <> p")
     # one edge for each chain between two branching ends; edges between vertices that stay
     joined = e.where("d = 2 and not ring and b1 and b2 and t1 <> t2").select(F.col("t1").alias("a"), F.col("t2").alias("b"))
-    gone = low.select(F.col("v").alias("g"))
-    kept = edges.join(gone, F.col("a") == F.col("g"), "left_anti").join(gone, F.col("b") == F.col("g"), "left_anti")
-    left = scratch.save(_distinct_edges(kept.union(joined)))
-    scratch.drop(walk)
-    return links, left
+    left, n = _save(scratch, _distinct_edges(_without(edges, low).union(joined)), n=F.count("*"))
+    return links, left, n["n"]
+
+
+def _solve(edges: DataFrame) -> DataFrame:
+    """Links of a core of a known small size to the least vertices of its parts, by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            top = x
+            while (up := root.setdefault(top, top)) != top:
+                top = up
+            while root[x] != top:
+                root[x], x = top, root[x]
+            return top
+
+        for batch in batches:
+            for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                a, b = find(a), find(b)
+                root[max(a, b)] = min(a, b)
+        gone = [(v, find(v)) for v in root if root[v] != v]
+        yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in gone], pa.int64()), pa.array([p for _, p in gone], pa.int64())], ["v", "p"])
+
+    return edges.select("a", "b").coalesce(1).mapInArrow(run, "v bigint, p bigint")
 
 
-def _contract(edges: DataFrame, round_no: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """One star contraction of the core; (links of the removed, edges left)."""
+def _contract(edges: DataFrame, round_no: int, scratch: Scratch) -> tuple[DataFrame, DataFrame, int]:
+    """One star contraction of the core; (links of the removed, edges left and their number)."""
     rank = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(round_no)).alias("h"), F.col(c).alias("x"))
     arcs = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select("b", "a"))
     first = scratch.save(arcs.groupBy("v").agg(F.min(rank("w")).alias("m")).select("v", F.col("m.x").alias("m"), (rank("v") < F.col("m")).alias("centre")))
@@ -131,9 +183,9 @@ def _contract(edges: DataFrame, round_no: int, scratch: Scratch) -> tuple[DataFr
         .join(l2, F.col("b") == F.col("v2"), "left")
         .select(F.coalesce("p1", "a").alias("a"), F.coalesce("p2", "b").alias("b"))
     )
-    left = scratch.save(_distinct_edges(moved))
+    left, n = _save(scratch, _distinct_edges(moved), n=F.count("*"))
     scratch.drop(first)
-    return links, left
+    return links, left, n["n"]
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -145,31 +197,36 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     edges = edges.where("a is not null and b is not null")
     loops = edges.where("a = b").select(F.col("a").alias("v"), F.col("a").alias("p"))
-    edges = scratch.save(_distinct_edges(edges))
+    edges, n = _save(scratch, _distinct_edges(edges), n=F.count("*"))
     everything = edges.select(F.col("a").alias("v")).union(edges.select("b")).union(loops.select("v")).distinct()
-    first_edges, rounds, parts = edges, 0, []
-    while True:
-        deg = scratch.save(_degrees(edges))
-        tally = deg.agg(F.count("*").alias("n"), F.sum((F.col("d") <= 2).cast("long")).alias("low")).first()
-        if not tally["n"]:
-            scratch.drop(deg)
+    first_edges, parts, ranked, n = edges, [], False, n["n"]
+    while n:
+        if ranked and n <= CORE:
+            parts.append(_solve(edges))
             break
-        links, left = _strip(deg, edges, scratch) if tally["low"] else _contract(edges, rounds, scratch)
+        deg, tally = _save(scratch, _degrees(edges), n=F.count("*"), leaves=F.count_if(F.col("d") == 1), low=F.count_if(F.col("d") <= 2))
+        if tally["leaves"] >= LEAVES * tally["n"]:
+            links, left, n = _strip_leaves(deg, edges, scratch)
+        elif tally["low"]:
+            (links, left, n), ranked = _strip_chains(deg, edges, scratch), True
+        elif n <= CORE:
+            ranked = True
+            continue
+        else:
+            links, left, n = _contract(edges, len(parts), scratch)
         parts.append(links)
-        scratch.drop(deg)
-        if edges is not first_edges:
+        if edges is not first_edges and n:
             scratch.drop(edges)
-        edges, rounds = left, rounds + 1
+        edges = left
     if not parts:
         return everything.select("v", F.col("v").alias("root"))
     up = parts[0]
     for p in parts[1:]:
         up = up.unionByName(p)
     hops = 1
-    # a link leads to a vertex removed in a later round: after `rounds` hops every walk is at its root
+    # a link leads to a vertex removed in a later round: after as many hops as rounds every walk is at its root
     up = scratch.save(up)
-    scratch.drop(*parts)
-    while hops < rounds:
+    while hops < len(parts):
         old = up
         nxt = up.select(F.col("v").alias("jv"), F.col("p").alias("jp"))
         up = scratch.save(up.join(nxt, F.col("p") == F.col("jv"), "left").select("v", F.coalesce("jp", "p").alias("p")))
@@ -193,13 +250,13 @@ def identity_groups(links: DataFrame, scope: str, left: str, right: str) -> Data
         .distinct()
     )
     pairs = scratch.save(pairs)
-    nodes = dense_ids(pairs.select("s", F.col("l").alias("ref")).union(pairs.select("s", "r")), ["s", "ref"], scratch)
+    nodes = numbered(pairs.select("s", F.col("l").alias("ref")).union(pairs.select("s", "r")), ["s", "ref"], scratch)
     n1 = nodes.select("s", F.col("ref").alias("l"), F.col("id").alias("a"))
     n2 = nodes.select("s", F.col("ref").alias("r"), F.col("id").alias("b"))
-    edges = pairs.join(n1, ["s", "l"]).join(n2, ["s", "r"]).select("a", "b")
-    labels = scratch.save(connected_components(edges, scratch))
-    least = labels.groupBy("root").agg(F.min("v").alias("g"))
-    member = labels.join(least, "root").select("v", "g")
-    names = nodes.select(F.col("id").alias("v"), F.col("s").alias(scope), F.col("ref").alias("candidate_ref"))
-    heads = nodes.select(F.col("id").alias("g"), F.col("ref").alias("group_ref"))
-    return member.join(names, "v").join(heads, "g").select(scope, "group_ref", "candidate_ref")
+    labels = connected_components(pairs.join(n1, ["s", "l"]).join(n2, ["s", "r"]).select("a", "b"), scratch)
+    named = scratch.save(labels.join(nodes.withColumnRenamed("id", "v"), "v").select("root", "s", "ref"))
+    heads = scratch.save(named.groupBy("root").agg(F.min("ref").alias("head"), F.count("*").alias("n")))
+    # a group of many members does not go to one task: its name goes to the members
+    hot = F.broadcast(heads.where(F.col("n") >= HOT))
+    few = named.join(heads.where(F.col("n") < HOT), "root")
+    return few.unionByName(named.join(hot, "root")).select(F.col("s").alias(scope), F.col("head").alias("group_ref"), F.col("ref").alias("candidate_ref"))

@@ -63,3 +63,24 @@ def test_groups_by_scope(spark):
     got = sorted(map(tuple, identity_groups(df, "document_id", "l", "r").collect()))
     assert got == [("d", "Z", "Z"), ("d", "Z", "a"), ("d", "Z", "b"), ("e", "a", "a"), ("e", "a", "c")]
     assert identity_groups(df.limit(0), "document_id", "l", "r").count() == 0
+
+
+@pytest.mark.parametrize("name", ["two rings on a bridge", "lollipop", "triangle, pair, loop, nulls", "figure eight", "two triangles joined twice", "ring"])
+def test_cores_that_no_single_task_solves(spark, name, monkeypatch):
+    from inkframe.llm import components
+
+    monkeypatch.setattr(components, "CORE", 0)
+    monkeypatch.setattr(components, "LEAVES", 2.0)
+    assert run(spark, GRAPHS[name]) == brute(GRAPHS[name])
+
+
+def test_one_group_of_most_records(spark, monkeypatch):
+    """Names of large groups are sent to their members; the result is the same."""
+    from inkframe.llm import components
+
+    rng = random.Random(9)
+    edges = [("d", f"r{i:05}", f"r{rng.randrange(i):05}", 0) for i in range(1, 3000)] + [("d", f"s{i}", f"s{i + 1}", 0) for i in range(0, 400, 2)]
+    df = spark.createDataFrame(edges, "document_id string, l string, r string, s int").select("document_id", "l", "r")
+    monkeypatch.setattr(components, "HOT", 500)
+    got = {(r.candidate_ref, r.group_ref) for r in identity_groups(df, "document_id", "l", "r").collect()}
+    assert got == {(f"r{i:05}", "r00000") for i in range(3000)} | {(f"s{i}", f"s{i - i % 2}") for i in range(401) if i < 400}
