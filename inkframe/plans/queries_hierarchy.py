@@ -92,17 +92,54 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree.join(names, "id").join(roots, "root").select(*KEY, "root_pointer_id", "root_revision")
 
 
-@R.query("p5_hierarchy")
+# from every root and every member of a cycle downwards; upwards until a node comes round
+_TREE = (
+    _PARENTS
+    + """, tree AS (
+  SELECT n.p, n.r, 0 AS depth, n.p || '@' || n.r AS path FROM node n WHERE NOT EXISTS (SELECT 1 FROM par x WHERE x.p = n.p AND x.r = n.r)
+    OR EXISTS (SELECT 1 FROM ring g WHERE g.p = n.p AND g.r = n.r)
+  UNION ALL
+  SELECT x.p, x.r, t.depth + 1, t.path || '/' || x.p || '@' || x.r FROM tree t JOIN par x ON x.pp = t.p AND x.pr = t.r
+  WHERE NOT EXISTS (SELECT 1 FROM ring g WHERE g.p = x.p AND g.r = x.r)
+), way AS (
+  SELECT p, r, pp AS ap, pr AS ar, 1 AS distance, [p || '@' || r, pp || '@' || pr] AS seen FROM par WHERE NOT (pp = p AND pr = r)
+  UNION ALL
+  SELECT w.p, w.r, x.pp, x.pr, w.distance + 1, list_append(w.seen, x.pp || '@' || x.pr) FROM way w JOIN par x ON x.p = w.ap AND x.r = w.ar
+  WHERE NOT list_contains(w.seen, x.pp || '@' || x.pr)
+)
+"""
+)
+
+
+def _named(names: DataFrame, id_: str, prefix: str) -> DataFrame:
+    return names.select(F.col("id").alias(id_), F.col("pointer_id").alias(f"{prefix}pointer_id"), F.col("revision").alias(f"{prefix}revision"))
+
+
+@R.query(
+    "p5_hierarchy",
+    _TREE
+    + """SELECT t.p AS pointer_id, t.r AS revision, par.pp AS parent_pointer_id, par.pr AS parent_revision, t.depth::BIGINT AS depth, t.path,
+  CASE WHEN f.p IS NULL THEN t.p WHEN f.top IS NULL THEN f.least_ring.a ELSE f.top.a END AS root_pointer_id,
+  CASE WHEN f.p IS NULL THEN t.r WHEN f.top IS NULL THEN f.least_ring.b ELSE f.top.b END AS root_revision, coalesce(f.p IS NOT NULL AND f.top IS NULL, false) AS on_or_below_cycle
+FROM tree t LEFT JOIN par ON par.p = t.p AND par.r = t.r LEFT JOIN fate f ON f.p = t.p AND f.r = t.r""",
+)
 def p5_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every revision with its node id, parent, root, depth, path of node ids, and whether it hangs on a cycle.
+    """Every revision with its parent, root, depth, path, and whether it is on or below a cycle.
 
     Below a cycle path and depth start at the member of the cycle that the way up enters; a member is
-    at depth 0 with itself as its path. The root stays the cycle's least member.
+    at depth 0 with itself as its path. The root stays the cycle's least member. The path names its
+    revisions from the top as pointer@revision, with slashes between them.
     """
     scratch = Scratch(spark, "pointers")
     names, nodes = pointer_nodes(spark, sf_dir, scratch)
     tree, _, _ = _opened(nodes, scratch)
-    return tree.join(names, "id").withColumnRenamed("id", "node_id")
+    tree = scratch.save(tree)
+    step = names.select(F.col("id").alias("at"), F.concat_ws("@", "pointer_id", F.col("revision").cast("string")).alias("step"))
+    steps = tree.select("id", F.posexplode("path").alias("pos", "at")).join(step, "at")
+    # a path has as many steps as its own row has elements
+    paths = steps.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "step"))), lambda x: x["step"]), "/").alias("path"))
+    full = tree.drop("path").join(paths, "id").join(_named(names, "id", ""), "id").join(_named(names, "root", "root_"), "root").join(_named(names, "parent", "parent_"), "parent", "left")
+    return full.select(*KEY, "parent_pointer_id", "parent_revision", "depth", "path", "root_pointer_id", "root_revision", F.col("is_ring").alias("on_or_below_cycle"))
 
 
 def _opened(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -116,15 +153,18 @@ def _opened(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame, D
     return tree.select("id", "parent", "root", "depth", "is_ring", "path"), ring, below
 
 
-@R.query("p5_descendants")
+@R.query(
+    "p5_descendants",
+    _TREE + "SELECT ap AS pointer_id, ar AS revision, p AS descendant_pointer_id, r AS descendant_revision, distance::BIGINT AS distance FROM way",
+)
 def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ancestor, descendant, distance) in node ids: all descendants of every revision, each once.
+    """All descendants of every revision, each once, with their distance.
 
     On a cycle every other member is a descendant, and what hangs below any of them; the distance is
     that of the first time round, and no revision is its own descendant.
     """
     scratch = Scratch(spark, "pointers")
-    _, nodes = pointer_nodes(spark, sf_dir, scratch)
+    names, nodes = pointer_nodes(spark, sf_dir, scratch)
     _, ring, below = _opened(nodes, scratch)
     straight = below.where("depth > 0").select("id", "depth", F.posexplode("path")).where("pos < depth").select(
         F.col("col").alias("ancestor"), F.col("id").alias("descendant"), (F.col("depth") - F.col("pos")).alias("distance")
@@ -140,7 +180,8 @@ def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     around = lower.join(upper, "ring").where("ancestor != root").select(
         "ancestor", F.col("id").alias("descendant"), (F.col("depth") + F.pmod(F.col("at") - F.col("above"), F.col("size"))).alias("distance")
     )
-    return straight.unionByName(around)
+    pairs = straight.unionByName(around).join(_named(names, "ancestor", ""), "ancestor").join(_named(names, "descendant", "descendant_"), "descendant")
+    return pairs.select(*KEY, "descendant_pointer_id", "descendant_revision", "distance")
 
 
 def _on_cycles(tree: DataFrame, scratch: Scratch) -> DataFrame:

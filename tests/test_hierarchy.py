@@ -81,10 +81,13 @@ def test_below_and_on_cycles(spark, monkeypatch):
         if x == n:
             ring.add(n)
     got = Q.p5_descendants(spark, "").collect()
-    assert len(got) == len(want) and {(r.ancestor, r.descendant): r.distance for r in got} == want
+    assert len(got) == len(want) and {(int(r.pointer_id), int(r.descendant_pointer_id)): r.distance for r in got} == want
     for r in Q.p5_hierarchy(spark, "").collect():
-        way = [r.node_id]
+        node = int(r.pointer_id)
+        way = [node]
         while way[0] not in ring and parent[way[0]] is not None:
             way.insert(0, parent[way[0]])
-        old = brute(parent)[r.node_id]
-        assert (r.path, r.depth, r.root, r.is_ring, r.parent) == (way, len(way) - 1, old[0], old[2], parent[r.node_id])
+        old = brute(parent)[node]
+        named = "/".join(f"{x}@1" for x in way)
+        up = None if r.parent_pointer_id is None else int(r.parent_pointer_id)
+        assert (r.path, r.depth, int(r.root_pointer_id), r.on_or_below_cycle, up) == (named, len(way) - 1, old[0], old[2], parent[node])
