@@ -11,19 +11,20 @@ from inkframe.operators import blocking, checks, consolidate, graph
 from inkframe.operators.chunking import pack_pairs
 from inkframe.operators.ranking import rank_within
 from inkframe.operators.windows import plan_windows
+from inkframe.plans.folding import folded
 from inkframe.plans.registry import Registry
 from inkframe.scratch import Scratch, table
 from inkframe.sources.store import missing
 
 R = Registry()
 
-_KEYS = """
+_KEYS = f"""
 names AS (SELECT document_id, kind, candidate_ref, chunk_ordinal, unnest(list_prepend(display_name, coalesce(aliases, []))) AS name FROM entity_candidates
   WHERE document_id IS NOT NULL AND candidate_ref IS NOT NULL),
-norm AS (SELECT *, lower(nfc_normalize(regexp_replace(trim(name), '\\s+', ' ', 'g'))) AS key FROM names WHERE name IS NOT NULL),
+norm AS (SELECT *, {folded('name')} AS key FROM names WHERE name IS NOT NULL),
 keyed AS (SELECT document_id, kind, candidate_ref, min(chunk_ordinal) AS chunk_ordinal, list_sort(list_distinct(list(key))) AS keys FROM norm WHERE key <> '' GROUP BY 1, 2, 3),
-tok AS (SELECT document_id, kind, candidate_ref, t FROM (SELECT document_id, kind, candidate_ref, unnest(regexp_extract_all(key, '[\\p{L}\\p{N}]+')) AS t FROM norm)
-  WHERE length(t) >= 2 AND NOT regexp_matches(t, '^\\p{N}+$') AND t NOT IN ('the', 'of')),
+tok AS (SELECT document_id, kind, candidate_ref, t FROM (SELECT document_id, kind, candidate_ref, unnest(regexp_extract_all(key, '[\\p{{L}}\\p{{N}}]+')) AS t FROM norm)
+  WHERE length(t) >= 2 AND NOT regexp_matches(t, '^\\p{{N}}+$') AND t NOT IN ('the', 'of')),
 toks AS (SELECT document_id, kind, candidate_ref, list_sort(list_distinct(list(t))) AS tokens FROM tok GROUP BY 1, 2, 3),
 full_keys AS (SELECT k.*, coalesce(t.tokens, []) AS tokens FROM keyed k LEFT JOIN toks t USING (document_id, kind, candidate_ref)),
 classes AS (SELECT document_id, kind, keys, tokens, min(candidate_ref) AS class_ref, count(*) AS members FROM full_keys GROUP BY 1, 2, 3, 4)
@@ -117,20 +118,20 @@ _EVENTS = """ev AS (SELECT DISTINCT ON (document_id, candidate_ref) * FROM event
 ents AS (SELECT DISTINCT document_id, chapter_id, candidate_ref, chunk_ordinal, e FROM (SELECT *, unnest(list_concat(coalesce(participant_refs, []), coalesce(location_refs, []))) AS e FROM ev) WHERE e IS NOT NULL)"""
 
 
-@R.query(
-    "event_pairs",
-    f"""WITH {_EVENTS}, p AS (SELECT DISTINCT document_id, candidate_ref, x.paragraph_id AS p FROM (SELECT document_id, candidate_ref, unnest(evidence) AS x FROM ev) WHERE x.paragraph_id IS NOT NULL),
+_EVENT_PAIRS = f"""WITH {_EVENTS}, p AS (SELECT DISTINCT document_id, candidate_ref, x.paragraph_id AS p FROM (SELECT document_id, candidate_ref, unnest(evidence) AS x FROM ev) WHERE x.paragraph_id IS NOT NULL),
 s AS (SELECT a.document_id, a.candidate_ref AS l, b.candidate_ref AS r, 'same_paragraph' AS s FROM p a JOIN p b USING (document_id, p) WHERE a.candidate_ref < b.candidate_ref
  UNION SELECT a.document_id, a.candidate_ref, b.candidate_ref, 'same_chunk' FROM ev a JOIN ev b ON a.document_id = b.document_id AND split_part(a.candidate_ref, ':', 1) = split_part(b.candidate_ref, ':', 1) WHERE a.candidate_ref < b.candidate_ref
  UNION SELECT a.document_id, least(a.candidate_ref, b.candidate_ref), greatest(a.candidate_ref, b.candidate_ref), 'adjacent_chunk_entity' FROM ents a JOIN ents b
   ON a.document_id = b.document_id AND a.chapter_id = b.chapter_id AND a.chunk_ordinal + 1 = b.chunk_ordinal AND a.e = b.e WHERE a.candidate_ref <> b.candidate_ref)
-SELECT document_id, l AS left_ref, r AS right_ref, string_agg(s, '|' ORDER BY s) AS signals FROM s GROUP BY 1, 2, 3""",
-)
+SELECT document_id, l AS left_ref, r AS right_ref, string_agg(s, '|' ORDER BY s) AS signals FROM s GROUP BY 1, 2, 3"""
+
+
+@R.query("event_pairs", _EVENT_PAIRS)
 def event_pairs(spark: SparkSession, d: str) -> DataFrame:
     return blocking.event_pairs(table(spark, d, "event_candidates")).withColumn("signals", F.array_join("signals", "|"))
 
 
-@R.query("signal_combinations")
+@R.query("signal_combinations", _EVENT_PAIRS.replace("SELECT document_id, l AS left_ref", "SELECT signals, count(*) AS pairs FROM (SELECT document_id, l AS left_ref", 1) + ") GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25")
 def signal_combinations(spark: SparkSession, d: str) -> DataFrame:
     """The 25 most frequent sets of signals of event pairs; ties by name."""
     p = blocking.event_pairs(table(spark, d, "event_candidates"))
@@ -194,13 +195,14 @@ def state_transitions(spark: SparkSession, d: str) -> DataFrame:
 
 
 @R.query(
-    "canonical_events",
+    "event_modes",
     """WITH e AS (SELECT DISTINCT document_id, candidate_ref, order_key, summary_zh, temporal_mode FROM event_candidates WHERE summary_zh IS NOT NULL),
 g AS (SELECT document_id, regexp_replace(trim(summary_zh), '\\s+', ' ', 'g') AS summary, min(order_key) AS first_order, count(*) AS candidates,
   CASE WHEN count(DISTINCT temporal_mode) FILTER (temporal_mode <> 'unknown') = 1 THEN min(temporal_mode) FILTER (temporal_mode <> 'unknown') ELSE 'unknown' END AS temporal_mode FROM e GROUP BY 1, 2)
 SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY first_order, summary)::INT AS narrative_order FROM g""",
 )
-def canonical_events(spark: SparkSession, d: str) -> DataFrame:
+def event_modes(spark: SparkSession, d: str) -> DataFrame:
+    """The one known mode of the events of each summary, or unknown."""
     e = table(spark, d, "event_candidates").where("summary_zh is not null").select("document_id", "candidate_ref", "order_key", "summary_zh", "temporal_mode").distinct()
     g = e.groupBy("document_id", F.regexp_replace(F.trim("summary_zh"), r"\s+", " ").alias("summary")).agg(
         F.min("order_key").alias("first_order"), F.count("*").alias("candidates"), consolidate.settled_mode("temporal_mode").alias("temporal_mode")
