@@ -4,9 +4,9 @@
    ligatures, radicals and compatibility ideographs are folded, and accents composed. What a reader
    sees as different (letter case, accents, punctuation, superscripts, circled digits) stays.
 2. Letters of one look are a class with a member in each script. The words of a text become lattices
-   of these members, and Viterbi search finds the likeliest reading: pairs of letters of one script
-   score by their counts in the corpus, a change of script inside a word costs much, and words that
-   could be either script follow the script of the words around them.
+   of these members, and Viterbi search finds the reading with the fewest changes of script, of those
+   one that begins in the script of the words around, of those the likeliest: pairs of letters of one
+   script score by their shares in the corpus, and a pair never seen costs most.
 
 The lattice depends on the looks alone, never on which member the text had, and different looks never
 share a member. So texts get equal forms if, and only if, they look the same.
@@ -32,19 +32,29 @@ LOOKS = """
 aаα eе- oоο cс- pрρ xх- yу- iі- jјϳ sѕ- hһ- dԁ- qԛ- wԝ- vѵν lӏ-
 AАΑ BВΒ CС- EЕΕ HНΗ IІΙ JЈϿ KКΚ MМΜ N-Ν OОΟ PРΡ SЅ- TТΤ XХΧ YУΥ Z-Ζ QԚ- WԜ-
 """.split()
-# Further characters of the look of a Latin letter.
-ALSO = {"ɡ": "g", "օ": "o", "ո": "n", "ս": "u", "Ս": "U", "Օ": "O", "ⅼ": "l", "Ү": "Y", "ᴏ": "o", "ꓲ": "I"}
-#: Cost, in bits, of a change of script inside a word, and of a pair of letters never seen.
-SWITCH, UNSEEN = 30.0, 22.0
+# Further characters of the look of a Latin letter (small capitals, Armenian, Cherokee, Coptic, Lisu).
+ALSO = dict(
+    x.split("=")
+    for x in """
+    ɡ=g ɑ=a ⅼ=l Ү=Y ᴄ=c ᴏ=o ꜱ=s ᴠ=v ᴡ=w ᴢ=z
+    օ=o ո=n ս=u հ=h յ=j զ=q Ս=U Օ=O
+    Ꭺ=A Ᏼ=B Ꮯ=C Ꭰ=D Ꭼ=E Ꮐ=G Ꮋ=H Ꭻ=J Ꮶ=K Ꮮ=L Ꮇ=M Ꮲ=P Ꭱ=R Ꮪ=S Ꭲ=T Ꮩ=V Ꮃ=W Ꮓ=Z
+    ⲟ=o ⲣ=p ⲥ=c Ⲏ=H Ⲓ=I Ⲕ=K Ⲙ=M Ⲛ=N Ⲟ=O Ⲣ=P Ⲥ=C Ⲧ=T Ⲩ=Y Ⲭ=X
+    ꓐ=B ꓑ=P ꓓ=D ꓔ=T ꓖ=G ꓗ=K ꓙ=J ꓚ=C ꓜ=Z ꓝ=F ꓟ=M ꓠ=N ꓡ=L ꓢ=S ꓣ=R ꓦ=V ꓧ=H ꓪ=W ꓫ=X ꓬ=Y ꓮ=A ꓰ=E ꓲ=I ꓳ=O ꓴ=U
+    """.split()
+)
+#: Share of the letter pairs that one never seen is taken to have, whatever the size of the corpus: 22 bits.
+UNSEEN_SHARE = 2.0**-22
+UNSEEN = 22.0
 
 _NOTHING = "\x00-\x08\x0e-\x1f\x7f-\x84\x86-\x9f\xad͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￰-￻\U000e0000-\U000e0fff"
 _HYPHENS = "‐‑﹣－"
 _SPACES = "\t\x0b\x0c\xa0  -   　"
 _DELETE = re.compile(f"[{_NOTHING}]+")
 # anything that may need work: not plain ASCII, and not a letter, sign or ideograph that is its own form
-_CLEAN = re.compile("[\\n -~¡-¬®-ÿŁłŚśŻżŹźĆćŃńĄąĘęŒœŠšŽž‘-„†-•…‹›–—€、-】㐀-䶿一-鿿！（），．：；？]*")
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏɐ-ʯͰ-ϿЀ-ԯԱ-ևḀ-῿̀-ͯ]+")
-_FAR = re.compile("[ɐ-ʯͰ-ԯԱ-ևᴀ-ᶿⱠ-Ɀꓸ-꓿]")
+_CLEAN = re.compile("[\\n -~¡-¬®-´¶-ÿŁłŚśŻżŹźĆćŃńĄąĘęŒœŠšŽž‘-„†-•…‹›–—€、-】㐀-䶿一-鿿！（），．：；？]*")
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏɐ-ʯͰ-ϿЀ-ԯԱ-ևḀ-῿̀-ͯ" + "".join(ALSO) + "]+")
+_FAR = re.compile("[ɐ-ʯͰ-ԯԱ-ևᴀ-ᶿⱠ-Ɀꓸ-꓿" + "".join(ALSO) + "]")
 
 
 @lru_cache(1)
@@ -121,8 +131,8 @@ class Normalizer:
     def __init__(self, pairs: dict[int, int]):
         self.members, _ = _classes()
         self.folds = _folds()
-        total = math.log2(1 + sum(pairs.values()))
-        self.bits = {k: total - math.log2(n) for k, n in pairs.items()}
+        total = max(1, sum(pairs.values()))
+        self.bits = {k: -math.log2(n / total + UNSEEN_SHARE) for k, n in pairs.items()}
         self.memo: dict[tuple[str, int], str] = {}
         self.kinds: dict[str, int] = {}
 
@@ -153,28 +163,19 @@ class Normalizer:
         for c in look:
             row = self.members.get(c)
             options.append(None if not c.isalpha() else {s: x for s, x in enumerate(row) if x != "-"} if row else {_script(c): c})
-        # readings in one script throughout: that of the words around, else the likeliest
-        whole = [s for s in (lean, LATIN, CYRILLIC, GREEK) if all(o is None or s in o for o in options)]
-        if whole:
-            s = whole[0] if whole[0] == lean else min(whole, key=lambda s: (self._bits_of([o[s] for o in options if o]), s))
-            got = "".join(c if o is None else o[s] for c, o in zip(look, options))
-        else:
-            got = self._mixed(look, options, lean)
+        got = self._search(look, options, lean)
         out = unicodedata.normalize("NFC", got)
         if len(self.memo) > 300_000:
             self.memo.clear()
         self.memo[(look, lean)] = out
         return out
 
-    def _bits_of(self, letters: list[str]) -> float:
-        return sum(self._pair(a, b) for a, b in zip(letters, letters[1:]))
-
     def _pair(self, a: str, b: str) -> float:
         return self.bits.get(ord(a) * _SIZE + ord(b), UNSEEN) if max(ord(a), ord(b)) < _SIZE else UNSEEN
 
-    def _mixed(self, look: str, options: list, lean: int) -> str:
-        """The best path through a lattice that no script crosses alone."""
-        best: dict[int, float] = {}
+    def _search(self, look: str, options: list, lean: int) -> str:
+        """The best path through the lattice; a path costs (changes of script, not begun in `lean`, bits)."""
+        best: dict[int, tuple[int, int, float]] = {}
         steps: list[dict[int, int]] = []
         last: dict[int, str] = {}
         for o in options:
@@ -182,14 +183,16 @@ class Normalizer:
                 steps.append({})
                 continue
             if not best:
-                best, back = {s: 0.0 if s == lean else 1.0 for s in o}, {s: s for s in o}
+                best, back = {s: (0, int(s != lean), 0.0) for s in o}, {s: s for s in o}
             else:
                 new, back = {}, {}
                 for s, x in o.items():
-                    new[s], back[s] = min((v + (self._pair(last[p], x) if p == s else SWITCH), p) for p, v in best.items())
+                    new[s], back[s] = min(((v[0] + (p != s), v[1], v[2] + (self._pair(last[p], x) if p == s else 0.0)), p) for p, v in best.items())
                 best = new
             last = o
             steps.append(back)
+        if not best:
+            return look
         s = min(best, key=lambda s: (best[s], s))
         out = []
         for c, o, back in zip(reversed(look), reversed(options), reversed(steps)):

@@ -38,6 +38,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.query("p4_canonical")
 def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The consistent form of every text, and whether it differs from what is stored."""
+    """The consistent form of every text with its document and chapter, and whether it differs from what is
+    stored: texts of one chapter and form look the same."""
     forms = normalize_texts(spark, _texts(spark, sf_dir), "body")
-    return forms.select("field_name", "key", "canonical", (F.col("canonical") != F.col("body")).alias("changed"))
+    return forms.select("field_name", "document_id", "chapter_id", "key", "canonical", (F.col("canonical") != F.col("body")).alias("changed"))
