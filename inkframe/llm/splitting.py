@@ -28,6 +28,8 @@ _BOUNDARIES = [
     r"(?<=[ \t])(?![ \t])",
 ]
 _WHOLE = r"(?![\x80-\xBF])"
+#: A character that is larger than the limit.
+_LARGE = r"[\xF0-\xF4][\x80-\xBF]{3}"
 
 
 def _consume(limit: Column) -> Column:
@@ -39,7 +41,7 @@ def _consume(limit: Column) -> Column:
         return F.concat(F.lit(r"[\x00-\xFF]{"), least.cast("string"), F.lit(","), limit.cast("string"), F.lit("}" + end))
 
     strong, weak, one = _BOUNDARIES[:3], _BOUNDARIES[3:], F.lit(1)
-    steps = [upto(one, r"\z"), *(upto(half, b) for b in strong), *(upto(one, b) for b in strong), *(upto(half, b) for b in weak), *(upto(one, b) for b in weak), upto(one, _WHOLE)]
+    steps = [upto(one, r"\z"), *(upto(half, b) for b in strong), *(upto(one, b) for b in strong), *(upto(half, b) for b in weak), *(upto(one, b) for b in weak), upto(one, _WHOLE), F.lit(_LARGE)]
     return F.concat_ws("|", *steps)
 
 
@@ -55,11 +57,11 @@ def split_texts(df: DataFrame, text: str, limit: str, overlap: str) -> DataFrame
     tokens as near as characters permit (never more). The own parts, put together, are the text.
     A text within the limit, the empty one too, is one piece. A null text, or a null limit, has null
     pieces. A null or negative overlap is 0; an overlap beyond half of the limit is cut to half of
-    it, since pieces must get on. A limit under 4 counts as 4 tokens, 12 bytes, so that any
-    character and its look back fit. Columns of any other name pass through; `pieces` is replaced.
+    it, since pieces must get on, and with a limit under 4 tokens, 12 bytes, there is none. A limit
+    under 1 counts as 1; only with that, a character of 4 bytes is a piece beyond it. Columns of any other name pass through; `pieces` is replaced.
     """
-    lim = F.greatest(F.lit(4), F.col(limit).cast("int"))
-    ov = F.least(F.greatest(F.lit(0), F.coalesce(F.col(overlap).cast("int"), F.lit(0))), F.floor(lim / 2).cast("int"))
+    lim = F.greatest(F.lit(1), F.col(limit).cast("int"))
+    ov = F.when(lim < 4, 0).otherwise(F.least(F.greatest(F.lit(0), F.coalesce(F.col(overlap).cast("int"), F.lit(0))), F.floor(lim / 2).cast("int")))
     raw = F.decode(F.encode(F.col(text), "UTF-8"), "ISO-8859-1")
     first, more = lim * 3, (lim - ov) * 3
     # the first stretch may use the whole limit, the others leave room for the look back

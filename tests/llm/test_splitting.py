@@ -62,3 +62,13 @@ def test_long_text_without_breaks(spark):
 
 def test_empty_table(spark):
     assert split_texts(spark.createDataFrame([], DDL), "t", "lim", "ov").where(F.size("pieces") > 1).count() == 0
+
+
+def test_budgets_of_one_to_three_tokens(spark):
+    texts = ["abc def. ghi", "日本語です", "a😀b😀😀c", "é" * 9]
+    rows = [(t, n) for t in texts for n in (0, 1, 2, 3)]
+    df = split_texts(spark.createDataFrame([(t, n, 2) for t, n in rows], "t string, n int, o int"), "t", "n", "o")
+    for r in df.collect():
+        assert "".join(p.text for p in r.pieces) == r.t
+        for p in r.pieces:
+            assert -(-len(p.text.encode()) // 3) <= max(1, r.n) or (r.n < 2 and p.text == "😀"), (r.n, p.text)
