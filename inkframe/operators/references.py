@@ -1,9 +1,10 @@
-"""References to records that do not exist, by bitmaps over dictionary-encoded keys.
+"""References to records that do not exist, by compressed bitmaps over dictionary-encoded keys.
 
 Keys that are referred to get dense ids. For each range of 2^15 ids and each month there is a bitmap
 of the keys referred to, one of the keys that had a valid parent during the whole month, and one of
-those that had one at some time in it. Spark builds and merges the bitmaps on the map side; shuffles
-and tables hold them compressed. AND-NOT of the bitmaps leaves
+those that had one at some time in it. A bitmap is kept as the shortest of a list of its bits, a list
+of its runs, and the plain bits; rows are made distinct on the map side first, so that no group has
+more than three times as many as its range. AND-NOT of the bitmaps leaves
 
 * references AND NOT ever valid in the month: orphans, whatever their exact time;
 * references AND valid at some time AND NOT throughout: only these are compared time by time.
@@ -13,41 +14,75 @@ The surviving bits are decoded to ids and find the referring rows again.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from inkframe.scratch import Scratch
 
-#: Ids of one bitmap: what Spark's bitmap functions hold.
-RANGE = 8 * 4096
+#: Ids of one bitmap; a bit's number fits 16 bits.
+RANGE = 1 << 15
+REFERRED, THROUGHOUT, SOMETIME = 0, 1, 2
 
 
 def month_of(c: Column) -> Column:
     return F.year(c) * 12 + F.month(c) - 1
 
 
-def _bitmaps(df: DataFrame, name: str) -> DataFrame:
-    """(range, month, bitmap) of rows (id, month); merged before the shuffle."""
-    return df.groupBy(F.floor(F.col("id") / RANGE).alias("range"), "month").agg(
-        F.bitmap_construct_agg(F.col("id") % RANGE).alias(name)
-    )
-
-
-@F.pandas_udf(ArrayType(StructType().add("bit", IntegerType()).add("sure", BooleanType())))
-def _surviving(ref: pd.Series, whole: pd.Series, some: pd.Series) -> pd.Series:
-    out = []
-    zero = np.zeros(RANGE // 8, dtype=np.uint8)
-    for r, w, s in zip(ref, whole, some):
-        r = np.frombuffer(r, dtype=np.uint8)
-        w = zero if w is None else np.frombuffer(w, dtype=np.uint8)
-        s = zero if s is None else np.frombuffer(s, dtype=np.uint8)
-        sure = np.flatnonzero(np.unpackbits(r & ~s, bitorder="little"))
-        ask = np.flatnonzero(np.unpackbits(r & s & ~w, bitorder="little"))
-        out.append([{"bit": int(b), "sure": True} for b in sure] + [{"bit": int(b), "sure": False} for b in ask])
-    return pd.Series(out)
+def pack(bits: np.ndarray) -> bytes:
+    """Distinct sorted bits as a list, as runs (first and last), or plain, whichever is shortest."""
+    bits = bits.astype(np.uint16)
+    cut = np.flatnonzero(np.diff(bits.astype(np.int32)) != 1) + 1
+    runs = np.stack([bits[np.concatenate([[0], cut])], bits[np.concatenate([cut - 1, [len(bits) - 1]])]], axis=1) if len(bits) else np.zeros((0, 2), np.uint16)
+    if 2 * runs.size <= min(2 * len(bits), RANGE // 8):
+        return b"R" + runs.tobytes()
+    if 2 * len(bits) <= RANGE // 8:
+        return b"L" + bits.tobytes()
+    plain = np.zeros(RANGE, dtype=np.uint8)
+    plain[bits] = 1
+    return b"P" + np.packbits(plain).tobytes()
+
+
+def unpack(packed: bytes | None) -> np.ndarray:
+    """Which of the range's bits are set."""
+    out = np.zeros(RANGE, dtype=bool)
+    if packed:
+        kind, rest = packed[:1], packed[1:]
+        if kind == b"P":
+            return np.unpackbits(np.frombuffer(rest, dtype=np.uint8)).astype(bool)
+        x = np.frombuffer(rest, dtype=np.uint16).astype(np.int64)
+        if kind == b"L":
+            out[x] = True
+        else:
+            edge = np.zeros(RANGE + 1, dtype=np.int32)
+            np.add.at(edge, x[::2], 1)
+            np.add.at(edge, x[1::2] + 1, -1)
+            out = np.cumsum(edge[:-1]) > 0
+    return out
+
+
+def _build(key: tuple, rows: pa.Table) -> pa.Table:
+    kind, bit = rows.column("kind").to_numpy(), rows.column("bit").to_numpy()
+    sets = [np.sort(bit[kind == k]) for k in (REFERRED, THROUGHOUT, SOMETIME)]
+    names = ["range", "month", "referred", "throughout", "sometime"]
+    ids = [pa.array([key[0].as_py()], pa.int64()), pa.array([key[1].as_py()], pa.int32())]
+    if not len(sets[0]):
+        return pa.table([x[:0] for x in (*ids, *[pa.array([b""], pa.binary())] * 3)], names)
+    return pa.table([*ids, *(pa.array([pack(s)], pa.binary()) for s in sets)], names)
+
+
+def _surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at, month, *packed in zip(*(c.to_pylist() for c in b.columns)):
+            ref, whole, some = map(unpack, packed)
+            sure, ask = np.flatnonzero(ref & ~some), np.flatnonzero(ref & some & ~whole)
+            n = len(sure) + len(ask)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at * RANGE + np.concatenate([sure, ask]), pa.int64()), pa.array(np.full(n, month, np.int32)), pa.array(np.arange(n) < len(sure))], ["_id", "_month", "_sure"]
+            )
 
 
 def orphan_references(refs: DataFrame, parents: DataFrame, scratch: Scratch) -> DataFrame:
@@ -91,15 +126,11 @@ def orphan_references(refs: DataFrame, parents: DataFrame, scratch: Scratch) ->
     starts = F.make_timestamp_ntz(F.floor(F.col("month") / 12).cast("int"), (F.col("month") % 12 + 1).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     begun = (F.col("m0") < F.col("month")) | (F.col("valid_from") <= starts)
     lasts = F.col("m1").isNull() | (F.col("m1") > F.col("month"))
-    refs_bits = _bitmaps(r.select(F.col("_id").alias("id"), F.col("_month").alias("month")), "ref_bits")
-    whole_bits = _bitmaps(at_month.where(begun & lasts), "whole_bits")
-    some_bits = _bitmaps(at_month, "some_bits")
-    left = (
-        refs_bits.join(whole_bits, ["range", "month"], "left")
-        .join(some_bits, ["range", "month"], "left")
-        .select("range", "month", F.explode(_surviving("ref_bits", "whole_bits", "some_bits")).alias("s"))
-        .select((F.col("range") * RANGE + F.col("s.bit")).alias("_id"), F.col("month").alias("_month"), F.col("s.sure").alias("_sure"))
-    )
+    some = at_month.select("id", "month", F.when(begun & lasts, F.array(F.lit(THROUGHOUT), F.lit(SOMETIME))).otherwise(F.array(F.lit(SOMETIME))).alias("kinds"))
+    bits = r.select(F.col("_id").alias("id"), F.col("_month").alias("month"), F.lit(REFERRED).alias("kind")).unionByName(some.select("id", "month", F.explode("kinds").alias("kind")))
+    bits = bits.select(F.floor(F.col("id") / RANGE).alias("range"), F.col("month").cast("int").alias("month"), "kind", (F.col("id") % RANGE).cast("int").alias("bit")).distinct()
+    maps = bits.groupBy("range", "month").applyInArrow(_build, "range bigint, month int, referred binary, throughout binary, sometime binary")
+    left = maps.mapInArrow(_surviving, "_id bigint, _month int, _sure boolean")
     found = scratch.save(r.join(left, ["_id", "_month"]))
     valid = p.select(F.col("_id").alias("p_id"), "valid_from", "valid_to")
     asked = found.where("not _sure").join(

@@ -65,3 +65,18 @@ def test_clashing_columns_pass_through(spark):
     parents = spark.createDataFrame([("d", "a", t, None, 1)], PARENTS + ", _id int")
     got = orphan_references(refs, parents, Scratch(spark, "test")).collect()
     assert [(r.ref, *[r[n] for n in names]) for r in got] == [("b", *[7] * len(names))]
+
+
+def test_packed_bitmaps():
+    import numpy as np
+
+    from inkframe.operators.references import RANGE, pack, unpack
+
+    rng = np.random.default_rng(3)
+    kinds = set()
+    for bits in ([], [0], [RANGE - 1], range(RANGE), range(100, 9000), rng.choice(RANGE, 50, replace=False), rng.choice(RANGE, 20_000, replace=False), [*range(5), *range(7, 900)]):
+        b = np.sort(np.array(list(bits), dtype=np.int64))
+        packed = pack(b)
+        kinds.add(packed[:1])
+        assert list(np.flatnonzero(unpack(packed))) == list(b) and len(packed) <= RANGE // 8 + 1
+    assert kinds == {b"R", b"L", b"P"} and not unpack(None).any() and len(pack(np.array([7]))) < 8
