@@ -3,8 +3,9 @@
 Keys that are referred to get dense ids. For each range of 2^15 ids and each month there is a bitmap
 of the keys referred to, one of the keys that had a valid parent during the whole month, and one of
 those that had one at some time in it. A bitmap is kept as the shortest of a list of its bits, a list
-of its runs, and the plain bits; rows are made distinct on the map side first, so that no group has
-more than three times as many as its range. AND-NOT of the bitmaps leaves
+of its runs, and the plain bits. References and times of validity first become one row for each key and
+year with a mask of its months, merged on the map side, so that however often a key is referred to, no
+range and year has more rows than the range has keys. AND-NOT of the bitmaps leaves
 
 * references AND NOT ever valid in the month: orphans, whatever their exact time;
 * references AND valid at some time AND NOT throughout: only these are compared time by time.
@@ -25,7 +26,7 @@ from inkframe.scratch import Scratch
 
 #: Ids of one bitmap; a bit's number fits 16 bits.
 RANGE = 1 << 15
-REFERRED, THROUGHOUT, SOMETIME = 0, 1, 2
+_MASKS = ["referred", "throughout", "sometime"]
 
 
 def month_of(c: Column) -> Column:
@@ -65,13 +66,16 @@ def unpack(packed: bytes | None) -> np.ndarray:
 
 
 def _build(key: tuple, rows: pa.Table) -> pa.Table:
-    kind, bit = rows.column("kind").to_numpy(), rows.column("bit").to_numpy()
-    sets = [np.sort(bit[kind == k]) for k in (REFERRED, THROUGHOUT, SOMETIME)]
-    names = ["range", "month", "referred", "throughout", "sometime"]
-    ids = [pa.array([key[0].as_py()], pa.int64()), pa.array([key[1].as_py()], pa.int32())]
-    if not len(sets[0]):
-        return pa.table([x[:0] for x in (*ids, *[pa.array([b""], pa.binary())] * 3)], names)
-    return pa.table([*ids, *(pa.array([pack(s)], pa.binary()) for s in sets)], names)
+    """Bitmaps of one range and year, for each month in which there are references."""
+    order = np.argsort(rows.column("bit").to_numpy())
+    bit, masks = rows.column("bit").to_numpy()[order], [rows.column(c).to_numpy()[order] for c in _MASKS]
+    months = [m for m in range(12) if (masks[0] >> m & 1).any()]
+    packed = [[pack(bit[(x >> m & 1) > 0]) for m in months] for x in masks]
+    first = key[1].as_py() * 12
+    return pa.table(
+        [pa.array([key[0].as_py()] * len(months), pa.int64()), pa.array([first + m for m in months], pa.int32()), *(pa.array(x, pa.binary()) for x in packed)],
+        ["range", "month", *_MASKS],
+    )
 
 
 def _surviving(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,23 +117,23 @@ def orphan_references(refs: DataFrame, parents: DataFrame, scratch: Scratch) ->
     span = r.agg(F.min("_month").alias("lo"), F.max("_month").alias("hi")).first()
     if span["lo"] is None:
         return lost
-    # months in which the parent is valid at some time, of those in which there are references
-    at_month = p.withColumn(
-        "month",
-        F.explode(
-            F.filter(
-                F.sequence(F.greatest("m0", F.lit(span["lo"])), F.greatest(F.lit(span["lo"]), F.least(F.coalesce("m1", F.lit(span["hi"])), F.lit(span["hi"])))),
-                lambda m: (m >= F.col("m0")) & (m <= F.coalesce("m1", F.lit(span["hi"]))),
-            )
-        ),
-    ).select(F.col("_id").alias("id"), "month", "m0", "m1", "valid_from", "valid_to")
-    starts = F.make_timestamp_ntz(F.floor(F.col("month") / 12).cast("int"), (F.col("month") % 12 + 1).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    begun = (F.col("m0") < F.col("month")) | (F.col("valid_from") <= starts)
-    lasts = F.col("m1").isNull() | (F.col("m1") > F.col("month"))
-    some = at_month.select("id", "month", F.when(begun & lasts, F.array(F.lit(THROUGHOUT), F.lit(SOMETIME))).otherwise(F.array(F.lit(SOMETIME))).alias("kinds"))
-    bits = r.select(F.col("_id").alias("id"), F.col("_month").alias("month"), F.lit(REFERRED).alias("kind")).unionByName(some.select("id", "month", F.explode("kinds").alias("kind")))
-    bits = bits.select(F.floor(F.col("id") / RANGE).alias("range"), F.col("month").cast("int").alias("month"), "kind", (F.col("id") % RANGE).cast("int").alias("bit")).distinct()
-    maps = bits.groupBy("range", "month").applyInArrow(_build, "range bigint, month int, referred binary, throughout binary, sometime binary")
+    # months in which the parent is valid at some time, and throughout, of those in which there are references
+    s0, s1 = F.greatest("m0", F.lit(span["lo"])), F.least(F.coalesce("m1", F.lit(span["hi"])), F.lit(span["hi"]))
+    starts = F.make_timestamp_ntz(F.floor(F.col("m0") / 12).cast("int"), (F.col("m0") % 12 + 1).cast("int"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    w0, w1 = F.when(F.col("valid_from") <= starts, F.col("m0")).otherwise(F.col("m0") + 1), F.coalesce(F.col("m1") - 1, F.lit(span["hi"]))
+    spans = p.select("_id", s0.alias("s0"), s1.alias("s1"), F.greatest(w0, s0).alias("w0"), F.least(w1, s1).alias("w1")).where("s0 <= s1")
+    spans = spans.withColumn("year", F.explode(F.sequence(F.floor(F.col("s0") / 12).cast("int"), F.floor(F.col("s1") / 12).cast("int"))))
+
+    def mask(lo: str, hi: str) -> Column:
+        a, b = F.greatest(F.col(lo), F.col("year") * 12), F.least(F.col(hi), F.col("year") * 12 + 11)
+        return F.when(a <= b, (F.pow(F.lit(2), b - F.col("year") * 12 + 1) - F.pow(F.lit(2), a - F.col("year") * 12)).cast("int")).otherwise(0)
+
+    none = F.lit(0)
+    bits = r.select(F.col("_id").alias("id"), F.floor(F.col("_month") / 12).cast("int").alias("year"), F.pow(F.lit(2), F.col("_month") % 12).cast("int").alias("referred"), none.alias("throughout"), none.alias("sometime"))
+    bits = bits.unionByName(spans.select(F.col("_id").alias("id"), "year", none.alias("referred"), mask("w0", "w1").alias("throughout"), mask("s0", "s1").alias("sometime")))
+    bits = bits.groupBy("id", "year").agg(*[F.bit_or(c).alias(c) for c in _MASKS]).where("referred <> 0")
+    bits = bits.select(F.floor(F.col("id") / RANGE).alias("range"), "year", (F.col("id") % RANGE).cast("int").alias("bit"), *_MASKS)
+    maps = bits.groupBy("range", "year").applyInArrow(_build, "range bigint, month int, referred binary, throughout binary, sometime binary")
     left = maps.mapInArrow(_surviving, "_id bigint, _month int, _sure boolean")
     found = scratch.save(r.join(left, ["_id", "_month"]))
     valid = p.select(F.col("_id").alias("p_id"), "valid_from", "valid_to")
