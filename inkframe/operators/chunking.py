@@ -11,14 +11,14 @@ def _tokens(size: Column, n: Column) -> Column:
     return F.when(n <= 0, F.lit(0)).otherwise(F.greatest(F.lit(1), F.ceil((size + 2 * (n - 1)) / 3))).cast("long")
 
 
-def plan_chunks(par: DataFrame, keys: list[str], order: str, pid: str, text: str, ownership: str, overlap: str, context: str) -> DataFrame:
+def plan_chunks(par: DataFrame, keys: list[str], order: str, pid: str, text: str, ownership: str, overlap: str, context: str, with_owned: bool = False) -> DataFrame:
     """(keys, chunk_no, first_owned, last_owned, first_context, last_context, owned_tokens, context_tokens).
 
     Paragraphs of a chapter are taken in order into chunks of at most `ownership` estimated tokens; a
     paragraph that alone exceeds it is a chunk of its own. The context then grows to the left, and
     after that to the right, while the grown side has at most `overlap` tokens and the whole at most
     `context`. Repeated rows of a paragraph count once, null texts as empty; rows without an order or
-    id are left out. Folds run inside a chapter.
+    id are left out. Folds run inside a chapter. With `with_owned` the ids of the owned paragraphs come too.
     """
     p = par.where(f"{order} is not null and {pid} is not null").select(*keys, F.struct(F.col(order).alias("o"), F.col(pid).alias("id"), F.octet_length(F.coalesce(text, F.lit(""))).cast("long").alias("b")).alias("p"), F.col(ownership).alias("_own"), F.col(overlap).alias("_ov"), F.col(context).alias("_ctx"))
     g = p.groupBy(*keys).agg(F.array_sort(F.collect_set("p")).alias("ps"), F.min("_own").alias("_own"), F.min("_ov").alias("_ov"), F.min("_ctx").alias("_ctx"))
@@ -69,6 +69,7 @@ def plan_chunks(par: DataFrame, keys: list[str], order: str, pid: str, text: str
         *keys, (F.col("k") + 1).alias("chunk_no"), at(F.col("lo") + 1).alias("first_owned"), at(F.col("hi")).alias("last_owned"),
         at(F.col("cl") + 1).alias("first_context"), at(F.col("cr")).alias("last_context"), F.col("size").alias("n_owned"), (F.col("cr") - F.col("cl")).alias("n_context"),
         span(F.col("lo"), F.col("hi")).alias("owned_tokens"), span(F.col("cl"), F.col("cr")).alias("context_tokens"),
+        *([F.transform(F.slice("ps", F.col("lo") + 1, F.col("size")), lambda x: x["id"]).alias("owned")] if with_owned else []),
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from inkframe.functions.text import heading_kind, normalize_newlines
 
@@ -37,30 +36,28 @@ def paragraphs(df: DataFrame, key: str, text: str) -> DataFrame:
     line, blank lines separate paragraphs, whose lines stay together; else every line that is not
     blank is a paragraph. Lines are trimmed at their ends.
 
-    Everything runs in order inside one document, by an array fold: no document is shuffled by lines.
+    Everything happens inside the row of a document, in time proportional to its length: nothing is
+    shuffled, and no line leaves its document before the paragraphs are made.
     """
     lines = df.select(key, F.split(normalize_newlines(F.col(text)), "\n", -1).alias("ls")).where("ls is not null")
-    tagged = lines.select(key, F.transform("ls", lambda x, i: F.struct(i.alias("i"), F.regexp_replace(x, r"\s+$", "").alias("t"), heading_kind(x).alias("h"), (~x.rlike(r"\S")).alias("b"))).alias("ls"))
-    rows = tagged.select(key, F.explode("ls").alias("l")).select(key, "l.*")
-    # one document's lines, in order: the window's partition is a document, never a corpus
-    w = Window.partitionBy(key).orderBy("i")
-    rows = rows.withColumn("sec", F.sum(F.when(F.col("h").isNotNull(), 1).otherwise(0)).over(w))
-    body = rows.where("h is null")
-    s = Window.partitionBy(key, "sec")
-    so = s.orderBy("i")
-    first, last = F.min(F.when(~F.col("b"), F.col("i"))).over(s), F.max(F.when(~F.col("b"), F.col("i"))).over(s)
-    body = body.withColumn("lo", first).withColumn("hi", last)
-    body = body.withColumn("split", F.max("b").over(s)).withColumn("blanks", F.sum(F.col("b").cast("int")).over(so))
-    par = body.where("not b").groupBy(key, "sec", F.when(F.col("split"), F.col("blanks")).otherwise(F.col("i")).alias("p")).agg(
-        F.min("i").alias("i"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "t"))), lambda x: x["t"]), "\n").alias("text")
+    tagged = lines.select(key, F.transform("ls", lambda x: F.struct(F.regexp_replace(x, r"\s+$", "").alias("t"), heading_kind(x).alias("h"))).alias("ls"))
+    heads = F.filter(F.sequence(F.lit(1), F.size("ls")), lambda i: F.element_at("ls", i)["h"].isNotNull())
+    # a section is a heading's place (0 for none) and the lines up to the next one
+    bounds = tagged.withColumn("heads", heads).withColumn("from", F.concat(F.array(F.lit(0)), "heads")).withColumn("to", F.concat("heads", F.array(F.size("ls") + 1)))
+    cut = F.transform(
+        F.arrays_zip("from", "to"),
+        lambda x: F.struct(
+            F.when(x["from"] > 0, F.element_at("ls", F.greatest(x["from"], F.lit(1)))).alias("head"),
+            F.transform(F.slice(F.col("ls"), x["from"] + 1, x["to"] - x["from"] - 1), lambda y: y["t"]).alias("body"),
+        ),
     )
-    heads = rows.where("h is not null").select(key, "sec", F.col("h").alias("chapter_kind"), F.trim("t").alias("heading"))
-    out = par.join(heads, [key, "sec"], "left")
+    apart = lambda body: F.transform(F.split(F.array_join(body, "\n"), "\n{2,}", -1), lambda t: F.regexp_replace(t, r"^\n+|\n+$", ""))
+    made = F.transform(
+        "cut",
+        lambda x: F.struct(x["head"].alias("head"), F.filter(F.when(F.exists(x["body"], lambda t: t == ""), apart(x["body"])).otherwise(x["body"]), lambda t: t != "").alias("ps")),
+    )
+    full = bounds.select(key, cut.alias("cut")).select(key, F.filter(made, lambda x: F.size(x["ps"]) > 0).alias("sections"))
+    out = full.select(key, F.posexplode("sections").alias("c", "s")).select(key, "c", "s.head", F.posexplode("s.ps").alias("p", "text"))
     return out.select(
-        key,
-        F.dense_rank().over(Window.partitionBy(key).orderBy("sec")).alias("chapter_no"),
-        F.coalesce("chapter_kind", F.lit("synthetic")).alias("chapter_kind"),
-        "heading",
-        F.row_number().over(Window.partitionBy(key, "sec").orderBy("i")).alias("paragraph_no"),
-        "text",
+        key, (F.col("c") + 1).alias("chapter_no"), F.coalesce("head.h", F.lit("synthetic")).alias("chapter_kind"), F.trim("head.t").alias("heading"), (F.col("p") + 1).alias("paragraph_no"), "text",
     )

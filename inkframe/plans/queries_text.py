@@ -50,10 +50,10 @@ def document_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return paragraphs(table(spark, d, "documents"), "doc_id", "text")
 
 
-def _chunks(spark: SparkSession, d: str) -> DataFrame:
+def _chunks(spark: SparkSession, d: str, with_owned: bool = False) -> DataFrame:
     prof = table(spark, d, "chunk_profile")
     p = table(spark, d, "paragraphs").join(prof, "profile_id")
-    return plan_chunks(p, ["document_id", "chapter_id"], "ord", "paragraph_id", "text_original", "ownership_budget", "overlap_budget", "context_budget")
+    return plan_chunks(p, ["document_id", "chapter_id"], "ord", "paragraph_id", "text_original", "ownership_budget", "overlap_budget", "context_budget", with_owned)
 
 
 @R.query("chunk_plan")
@@ -64,14 +64,27 @@ def chunk_plan(spark: SparkSession, d: str) -> DataFrame:
 
 @R.query(
     "chunk_coverage",
-    "SELECT count(DISTINCT (document_id, chapter_id, paragraph_id)) AS owned_once, 0::BIGINT AS unowned, 0::BIGINT AS owned_often FROM paragraphs",
+    """WITH k AS (SELECT DISTINCT document_id, chapter_id, paragraph_id FROM paragraphs JOIN chunk_profile USING (profile_id) WHERE ord IS NOT NULL AND paragraph_id IS NOT NULL)
+SELECT count(*) AS owned_once, (SELECT count(*) FROM (SELECT DISTINCT document_id, chapter_id, paragraph_id FROM paragraphs EXCEPT SELECT * FROM k)) AS unowned, 0::BIGINT AS owned_often FROM k""",
 )
 def chunk_coverage(spark: SparkSession, d: str) -> DataFrame:
-    """Every paragraph is owned by exactly one chunk: the ids in a chapter are consecutive."""
-    no = lambda c: F.regexp_extract(c, r"_P(\d+)$", 1).cast("int")
-    owned = _chunks(spark, d).select("document_id", "chapter_id", F.explode(F.sequence(no("first_owned"), no("last_owned"))).alias("no"))
-    known = table(spark, d, "paragraphs").select("document_id", "chapter_id", no("paragraph_id").alias("no"))
-    return coverage(owned, known, ["document_id", "chapter_id", "no"])
+    """How many paragraphs one chunk owns, none, and several, by the paragraphs that the chunks hold."""
+    owned = _chunks(spark, d, with_owned=True).select("document_id", "chapter_id", F.explode("owned").alias("paragraph_id"))
+    known = table(spark, d, "paragraphs").select("document_id", "chapter_id", "paragraph_id")
+    return coverage(owned, known, ["document_id", "chapter_id", "paragraph_id"])
+
+
+@R.query(
+    "chunk_sizes",
+    """WITH p AS (SELECT DISTINCT document_id, chapter_id, profile_id, ord, paragraph_id, strlen(coalesce(text_original, '')) AS b FROM paragraphs WHERE ord IS NOT NULL AND paragraph_id IS NOT NULL)
+SELECT document_id, chapter_id, count(*) AS paragraphs, sum(b)::BIGINT AS bytes FROM p JOIN chunk_profile USING (profile_id) GROUP BY 1, 2""",
+)
+def chunk_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Per chapter the paragraphs and bytes that its chunks own together."""
+    c = _chunks(spark, d, with_owned=True)
+    p = table(spark, d, "paragraphs").where("ord is not null").select("document_id", "chapter_id", "paragraph_id", F.octet_length(F.coalesce("text_original", F.lit(""))).cast("long").alias("b")).distinct()
+    ids = c.select("document_id", "chapter_id", F.explode("owned").alias("paragraph_id")).join(p, ["document_id", "chapter_id", "paragraph_id"])
+    return ids.groupBy("document_id", "chapter_id").agg(F.count("*").alias("paragraphs"), F.sum("b").alias("bytes"))
 
 
 @R.query("base_language", "SELECT lower(regexp_split_to_array(trim(lang), '[-_]')[1]) AS language, count(*) AS docs, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY 1")
@@ -88,9 +101,9 @@ def template_fields(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", f.alias("field")).groupBy("doc_id", "field").agg(F.count("*").alias("n"))
 
 
-@R.query("content_hashes", "SELECT doc_id, sha256(text) AS content_hash, 'doc_' || substr(sha256(source || '|' || doc_id), 1, 20) AS short_id FROM documents WHERE source IS NOT NULL")
+@R.query("content_hashes", "SELECT doc_id, sha256(text) AS content_hash, 'doc_' || substr(sha256(coalesce(source, '') || '|' || doc_id), 1, 20) AS short_id FROM documents")
 def content_hashes(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").where("source is not null")
+    t = table(spark, d, "documents").withColumn("source", F.coalesce("source", F.lit("")))
     return t.select("doc_id", hashing.content_hash(F.col("text")).alias("content_hash"), hashing.short_id("doc_", F.concat_ws("|", "source", F.col("doc_id").cast("string"))).alias("short_id"))
 
 

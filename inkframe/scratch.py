@@ -7,6 +7,8 @@ once, is columnar and compressed, and gives Catalyst true sizes for its join cho
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -26,13 +28,42 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_OPEN: dict[str, SparkSession] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@atexit.register
+def close_all() -> None:
+    """Delete the folders of all runs of this driver: their results can be read until it ends."""
+    for path, spark in list(_OPEN.items()):
+        try:
+            if path.startswith(("/", "file:")):
+                shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+            else:
+                _delete(spark, path)
+        except Exception:  # the session is gone already: its own cleaner has the folder
+            continue
+        _OPEN.pop(path, None)
+
+
 class Scratch:
-    """Tables of one run of an operator, in one folder of their own."""
+    """Tables of one run of an operator, in one folder of their own. `close` deletes them once the results
+    have been written; what is left goes when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.dir = f"{checkpoint_root(spark).rstrip('/')}/inkframe/{name}-{uuid.uuid4().hex}"
         self.count = 0
+        _OPEN[self.dir] = spark
+
+    def close(self) -> None:
+        _OPEN.pop(self.dir, None)
+        _delete(self.spark, self.dir)
 
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
@@ -44,13 +75,9 @@ class Scratch:
 
     def drop(self, *frames: DataFrame | None) -> None:
         """Delete tables that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in frames:
-            path = getattr(df, "_inkframe_path", None)
-            if path:
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(conf).delete(p, True)
+            if path := getattr(df, "_inkframe_path", None):
+                _delete(self.spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

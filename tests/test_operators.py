@@ -218,3 +218,37 @@ def test_ranks_over_many_partitions(spark):
     for rows in got.values():
         assert [p for p, _ in sorted(rows)] == list(range(len(rows))) and [k for _, k in sorted(rows)] == sorted(k for _, k in rows)
     assert sum(map(len, got.values())) == 600
+
+
+def test_canonical_numbers_and_key_order(spark):
+    """Examples of RFC 8785, and keys beyond the basic plane."""
+    for given, want in [
+        ('{"n":[333333333.33333329,1E30,4.50,2e-3,0.000000000000000000000000001,1e21,1e20,-0.0,1.0,1e-6,1e-7]}', '{"n":[333333333.3333333,1e+30,4.5,0.002,1e-27,1e+21,100000000000000000000,0,1,0.000001,1e-7]}'),
+        ('{"\\u20ac":1,"\\r":2,"\\ufb33":3,"1":4,"\\ud83d\\ude00":5,"\\u0080":6,"\\u00f6":7}', '{"\\r":2,"1":4,"\u0080":6,"ö":7,"€":1,"😀":5,"\ufb33":3}'),
+        ('[9007199254740993, "\\u000f\\t/"]', '[9007199254740992,"\\u000f\\t/"]'), ('"\\ud800"', None), ("[1e400]", None), ("[NaN]", None),
+    ]:
+        assert one(spark, hashing.canonicalize_json, given) == want, given
+
+
+def test_paragraphs_of_hard_texts(spark):
+    from inkframe.operators.ingest import paragraphs
+
+    docs = [(1, None), (2, ""), (3, "\n\n \n"), (4, "Chapter 1"), (5, "a\nb"), (6, "\na\nb\n\n\nc \n"), (7, "Chapter 1\nChapter 2: The Mill\nx\n\ny\nz\nPrologue\nq"), (5, "a\nb"), (8, "w " * 50_000 + "\nend")]
+    got = [tuple(r)[1:] if r.id != 8 else len(r.text) for r in paragraphs(spark.createDataFrame(docs, "id int, text string"), "id", "text").orderBy("id", "chapter_no", "paragraph_no").collect()]
+    assert got == [
+        (1, "synthetic", None, 1, "a"), (1, "synthetic", None, 1, "a"), (1, "synthetic", None, 2, "b"), (1, "synthetic", None, 2, "b"), (1, "synthetic", None, 1, "a\nb"), (1, "synthetic", None, 2, "c"),
+        (1, "chapter", "Chapter 2: The Mill", 1, "x"), (1, "chapter", "Chapter 2: The Mill", 2, "y\nz"), (2, "prologue", "Prologue", 1, "q"), 99_999, 3,
+    ]
+
+
+def test_scratch_folders_go(spark):
+    import os
+
+    from inkframe import scratch
+
+    s = scratch.Scratch(spark, "gone")
+    s.save(spark.range(3).toDF("id"))
+    path = s.dir.removeprefix("file:")
+    assert os.path.isdir(path)
+    s.close()
+    assert not os.path.exists(path) and s.dir not in scratch._OPEN
