@@ -39,7 +39,7 @@ def paragraphs(df: DataFrame, key: str, text: str) -> DataFrame:
     Everything happens inside the row of a document, in time proportional to its length: nothing is
     shuffled, and no line leaves its document before the paragraphs are made.
     """
-    lines = df.select(key, F.split(normalize_newlines(F.col(text)), "\n", -1).alias("ls")).where("ls is not null")
+    lines = df.where(F.col(text).isNotNull()).select(key, F.split(normalize_newlines(F.col(text)), "\n", -1).alias("ls"))
     tagged = lines.select(key, F.transform("ls", lambda x: F.struct(F.regexp_replace(x, r"\s+$", "").alias("t"), heading_kind(x).alias("h"))).alias("ls"))
     heads = F.filter(F.sequence(F.lit(1), F.size("ls")), lambda i: F.element_at("ls", i)["h"].isNotNull())
     # a section is a heading's place (0 for none) and the lines up to the next one
@@ -57,7 +57,8 @@ def paragraphs(df: DataFrame, key: str, text: str) -> DataFrame:
         lambda x: F.struct(x["head"].alias("head"), F.filter(F.when(F.exists(x["body"], lambda t: t == ""), apart(x["body"])).otherwise(x["body"]), lambda t: t != "").alias("ps")),
     )
     full = bounds.select(key, cut.alias("cut")).select(key, F.filter(made, lambda x: F.size(x["ps"]) > 0).alias("sections"))
-    out = full.select(key, F.posexplode("sections").alias("c", "s")).select(key, "c", "s.head", F.posexplode("s.ps").alias("p", "text"))
+    # outer, or the optimizer would ask for the size of the arrays first and make them twice
+    out = full.select(key, F.posexplode_outer("sections").alias("c", "s")).select(key, "c", "s.head", F.posexplode_outer("s.ps").alias("p", "text")).where("p is not null")
     return out.select(
         key, (F.col("c") + 1).alias("chapter_no"), F.coalesce("head.h", F.lit("synthetic")).alias("chapter_kind"), F.trim("head.t").alias("heading"), (F.col("p") + 1).alias("paragraph_no"), "text",
     )
