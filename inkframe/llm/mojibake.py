@@ -486,7 +486,7 @@ def _undo_legacy(text: str, r: Rarity, rare: list[tuple[int, int]]) -> str:
     best = max(gains.values(), default=0.0)
     chosen = next((p for p in ((c, t) for c in READ_AS for t in WRITTEN_IN) if gains.get(p) == best), None) if best > TOTAL else None
     if chosen is None:
-        return _undo_eastern(text, r)
+        return _undo_eastern(text, r, rare)
     out, at = [], 0
     for lo, run in _parts(text, chosen[0] if chosen[1] in _EASTERN else None):
         good = None if _mixed(run) else _reread(run, *chosen)
@@ -503,11 +503,17 @@ _LONG = re.compile(r"[^\x00-\x7f\u2e80-\uffff]{4,}")
 _FAR_RUN = re.compile(r"[^\x00-\x7f\u2010-\u2027]{4,}")
 
 
-def _undo_eastern(text: str, r: Rarity) -> str:
+def _undo_eastern(text: str, r: Rarity, rare: list[tuple[int, int]]) -> str:
     """Text written in one encoding of several bytes a character and read as another: stretches of
     ideographs that cost far more than those they stand for."""
-    runs = [(m.start(), m.group()) for m in _FAR_RUN.finditer(text) if _EAST.search(m.group())]
-    told = [(lo, run) for lo, run in runs if (x := r.cost(run))[0] > 13 * x[1]]
+    told = []
+    for lo, hi in rare:
+        for m in _FAR_RUN.finditer(text, lo, hi):
+            if _EAST.search(m.group()):
+                bits = r.all_bits(_fold(np.frombuffer(m.group().encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)))
+                if bits.sum() > 13 * len(bits):
+                    told.append((m.start(), m.group()))
+    runs = [(m.start(), m.group()) for m in _FAR_RUN.finditer(text) if _EAST.search(m.group())] if told else []
     best, chosen = 3 * TOTAL, None
     for codec in _WIDE if told else ():
         for true in _EASTERN:
